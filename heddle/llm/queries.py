@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import secrets
 from ._common import table
 from .fingerprint import compare_neighbours
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan_learned(table(spark, sf_dir, "documents")))
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_fingerprint,)}
+    return {f.__name__: f for f in (op1_secrets, op7_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:

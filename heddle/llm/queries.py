@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import secrets, warc
 from ._common import table
 from .fingerprint import compare_neighbours
 
@@ -19,9 +19,22 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+WARC_SQL = """
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+             CASE WHEN strlen(html) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY html) THEN max(page_id) OVER (PARTITION BY html) END AS refers_to
+      FROM pages)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op7_fingerprint)}
+    return {f.__name__: f for f in (op1_secrets, op7_fingerprint, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": WARC_SQL}

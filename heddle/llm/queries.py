@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets, warc
+from . import langid, secrets, warc
 from ._common import table
 from .fingerprint import compare_neighbours
 
@@ -15,6 +15,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_learned(table(spark, sf_dir, "documents")))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_byte
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op7_fingerprint, op10_warc)}
+    return {f.__name__: f for f in (op1_secrets, op6_langid, op7_fingerprint, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,14 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import langid, secrets, warc
+from . import pieces as piece_model
 from ._common import table
 from .fingerprint import compare_neighbours
 
 
+#: A public vocabulary; it stays where it is.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_learned(table(spark, sf_dir, "documents")))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
+    return piece_model.round_trip(table(spark, sf_dir, "documents"), piece_model.read_model(model))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -37,7 +46,7 @@ FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_byte
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op6_langid, op7_fingerprint, op10_warc)}
+    return {f.__name__: f for f in (op1_secrets, op4_pieces, op6_langid, op7_fingerprint, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:

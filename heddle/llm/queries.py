@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, secrets, sharding, warc
+from . import decontaminate, langid, secrets, sharding, warc
 from . import pieces as piece_model
 from ._common import table
 from .fingerprint import compare_neighbours
@@ -24,6 +24,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.near_equal(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
     return piece_model.round_trip(table(spark, sf_dir, "documents"), piece_model.read_model(model))
 
@@ -50,7 +54,7 @@ FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_byte
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_sharding, op4_pieces, op6_langid, op7_fingerprint, op10_warc)}
+    return {f.__name__: f for f in (op1_secrets, op2_sharding, op3_decontamination, op4_pieces, op6_langid, op7_fingerprint, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:

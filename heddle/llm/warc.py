@@ -140,8 +140,10 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", sam
     The dictionary is trained on at most `samples` pages of at most `longest` bytes, those of the lowest hash. A task
     that is run again writes files of another name; only those that the returned table lists count.
     """
-    small = pages.where((F.col("html") != "") & (F.octet_length("html") <= longest)).select("html")
-    dictionary = train([r.html.encode() for r in small.orderBy(F.xxhash64("html")).limit(samples).collect()])
+    small = pages.where((F.col("html") != "") & (F.octet_length("html") <= longest)).select(F.xxhash64("html").alias("hash"), "html")
+    lowest = small.select("hash").distinct().orderBy("hash").limit(samples).agg(F.max("hash")).first()[0]
+    chosen = small.where(F.col("hash") <= F.lit(lowest)).groupBy("hash").agg(F.first("html").alias("html"))  # a row per hash
+    dictionary = train([r.html.encode() for r in chosen.orderBy("hash").collect()])
     schema = pa.schema([("path", pa.string()), ("records", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -79,12 +79,12 @@ def project(df: DataFrame, **wanted: str) -> DataFrame:
     return plain.select(*[F.col(f"_{at[c]}").cast(t).alias(c) for c, t in wanted.items()])
 
 
-def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], text: str | int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `most` bytes of text each, so that work arrays stay small; a row is never cut."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
+        column = batch.column(text if isinstance(text, int) else batch.schema.get_field_index(text))
         sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
@@ -95,5 +95,50 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 4 << 20) ->
         yield batch.slice(start)
 
 
+def column_at(df: DataFrame, name: str) -> int:
+    """Position of the first column of exactly this name."""
+    if name not in df.columns:
+        raise ValueError(f"no column {name} in {df.columns}")
+    return df.columns.index(name)
+
+
+def rows_kept(docs: DataFrame, chooser: Callable[[], Callable[[list[str | None]], list[bool]]], text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose whole text the chooser keeps. It is made once a task.
+
+    No join and no shuffle: a decision that hangs on the text alone is taken where the row is.
+    """
+    at = column_at(docs, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = chooser()
+        for batch in pieces(batches, at):
+            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    return _clashing(docs, lambda df: df.mapInArrow(run, df.schema))
+
+
+def rows_changed(docs: DataFrame, changer: Callable[[], Callable[[list[str | None]], list[str | None]]], text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
+    """The rows of docs with the texts that the changer gives; count_col, if there, is made the new text's length."""
+    at = column_at(docs, text_col)
+    counted = docs.columns.index(count_col) if count_col in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = changer()
+        for batch in pieces(batches, at):
+            texts = change(batch.column(at).to_pylist())
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            if counted is not None:
+                columns[counted] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch.schema.field(counted).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return _clashing(docs, lambda df: df.mapInArrow(run, df.schema))
+
+
+def _clashing(df: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work(df) under plain column names, so that names may clash."""
+    return work(df.toDF(*[f"_{i}" for i in range(len(df.columns))])).toDF(*df.columns)
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

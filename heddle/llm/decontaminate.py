@@ -15,15 +15,16 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project
+from ._common import batch_of, pieces, project, rows_kept
 
 SHORT = 16  # items under so many characters are looked for as they are, at word bounds
 WIDEST = 64  # of the size classes' windows; longer items are hashed by windows of this length at all offsets
@@ -210,16 +211,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, fraction: float = 0.2, recall:
     about block_chars characters, which bounds what the driver holds and broadcasts. Null and empty documents have no
     leak; repeated rows give repeated results.
     """
-    spark = docs.sparkSession
-    items = project(benchmark, item_id="long", text="string").where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
     base = project(docs, doc_id="long", text="string")
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("item_chars", pa.int32())])
     out = None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct()
-        index = spark.sparkContext.broadcast(Index(sorted((r.item_id, normalised(r.text)) for r in own.collect() if r.item_id is not None), fraction, recall))
+    for index in indexes(benchmark, fraction, recall, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches, "text"):
@@ -231,3 +226,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, fraction: float = 0.2, recall:
         part = base.mapInArrow(run, "doc_id long, item_id long, distance int, item_chars int")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def indexes(benchmark: DataFrame, fraction: float, recall: float, block_chars: int) -> Iterator[Broadcast[Index]]:
+    """Broadcast indexes of the benchmark's blocks, at least one."""
+    items = project(benchmark, item_id="long", text="string").where("item_id is not null and text is not null")
+    blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted((r.item_id, normalised(r.text)) for r in own.collect()), fraction, recall))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, fraction: float = 0.2, recall: float = 0.95, block_chars: int = 200_000) -> DataFrame:
+    """The rows of docs, with all their columns, in whose texts leaks() finds no item."""
+    for index in indexes(benchmark, fraction, recall, block_chars):
+
+        def chooser(index=index) -> Callable[[list[str | None]], list[bool]]:
+            def keep(texts: list[str | None]) -> list[bool]:
+                hit = {h[0] for h in index.value.search([normalised(t) for t in texts])}
+                return [i not in hit for i in range(len(texts))]
+
+            return keep
+
+        docs = rows_kept(docs, chooser)
+    return docs

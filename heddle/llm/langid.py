@@ -11,14 +11,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project
+from ._common import batch_of, pieces, project, rows_kept
 
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
@@ -237,6 +237,43 @@ def learn(docs: DataFrame, per_label: int = 400, passage: int = 64) -> Field:
     return train(use)
 
 
+class Labeller:
+    """Predicts batches of whole texts; keeps the emissions of the words it has met, up to a bound."""
+
+    KEEP = 150_000
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.number: dict[str, int] = {}
+        self.table = np.zeros((0, len(field.labels)), np.float32)
+
+    def __call__(self, texts: list[str | None], words: bool = False) -> tuple[list[str], list[float], list[list[str]]]:
+        field = self.field
+        if len(self.number) > self.KEEP:
+            self.number, self.table = {}, self.table[:0]
+        number = self.number
+        split = [words_of(t) for t in texts] if field.labels else [[] for _ in texts]
+        fresh = list(dict.fromkeys(w for t in split for w in t if w not in number))
+        for at in range(0, len(fresh), 50_000):
+            part = fresh[at : at + 50_000]
+            self.table = np.concatenate([self.table, field.emissions(part)])
+            number.update(zip(part, range(len(number), len(number) + len(part)), strict=True))
+        sizes = np.array([len(t) for t in split], np.int64)
+        ids = np.fromiter((number[w] for t in split for w in t), np.int64, int(sizes.sum()))
+        p = marginals(self.table[ids], sizes, field.steps, field.first) if len(ids) else np.zeros((0, len(field.labels)), np.float32)
+        some = np.flatnonzero(sizes)
+        labels, scores = [UNDETERMINED] * len(split), [0.0] * len(split)
+        if len(some):
+            mean = np.add.reduceat(p.astype(np.float64), (np.cumsum(sizes) - sizes)[some], axis=0) / sizes[some, None]
+            for i, k, s in zip(some, mean.argmax(1), mean.max(1), strict=True):
+                labels[i], scores[i] = field.labels[k], min(1.0, float(s))
+        of_words: list[list[str]] = []
+        if words:
+            best = [field.labels[k] for k in p.argmax(1)] if len(p) else []
+            of_words = [best[e - n : e] for e, n in zip(np.cumsum(sizes), sizes, strict=True)]
+        return labels, scores, of_words
+
+
 def predict(docs: DataFrame, field: Field, words: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text, and with `words` the label of each word in text order.
 
@@ -247,32 +284,10 @@ def predict(docs: DataFrame, field: Field, words: bool = False) -> DataFrame:
     schema = pa.schema(names + ([("words", pa.list_(pa.string()))] if words else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number: dict[str, int] = {}
-        table = np.zeros((0, len(field.labels)), np.float32)
+        labeller = Labeller(field)
         for batch in pieces(batches, "text"):
-            if len(number) > 150_000:
-                number, table = {}, table[:0]
-            texts = [words_of(t) for t in batch.column(1).to_pylist()] if field.labels else [[] for _ in range(batch.num_rows)]
-            fresh = list(dict.fromkeys(w for t in texts for w in t if w not in number))
-            for at in range(0, len(fresh), 50_000):
-                part = fresh[at : at + 50_000]
-                table = np.concatenate([table, field.emissions(part)])
-                number.update(zip(part, range(len(number), len(number) + len(part)), strict=True))
-            sizes = np.array([len(t) for t in texts], np.int64)
-            ids = np.fromiter((number[w] for t in texts for w in t), np.int64, int(sizes.sum()))
-            p = marginals(table[ids], sizes, field.steps, field.first) if len(ids) else np.zeros((0, len(field.labels)), np.float32)
-            some = np.flatnonzero(sizes)
-            labels, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            if len(some):
-                mean = np.add.reduceat(p.astype(np.float64), (np.cumsum(sizes) - sizes)[some], axis=0) / sizes[some, None]
-                for i, k, s in zip(some, mean.argmax(1), mean.max(1), strict=True):
-                    labels[i], scores[i] = field.labels[k], min(1.0, float(s))
-            columns = [batch.column(0), labels, scores]
-            if words:
-                best = np.array(field.labels, object)[p.argmax(1)] if len(p) else []
-                ends = np.cumsum(sizes)
-                columns.append([list(best[e - n : e]) for e, n in zip(ends, sizes, strict=True)])
-            yield batch_of(schema, columns)
+            labels, scores, of_words = labeller(batch.column(1).to_pylist(), words)
+            yield batch_of(schema, [batch.column(0), labels, scores] + ([of_words] if words else []))
 
     wanted = "doc_id long, lang_pred string, score double" + (", words array<string>" if words else "")
     return project(docs, doc_id="long", text="string").mapInArrow(run, wanted)
@@ -281,3 +296,14 @@ def predict(docs: DataFrame, field: Field, words: bool = False) -> DataFrame:
 def identify(docs: DataFrame, **bounds: int) -> DataFrame:
     """Learns from docs and predicts all of them: (doc_id, held_out, lang_pred, score)."""
     return predict(docs, learn(docs, **bounds)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def determined(docs: DataFrame, least: float = 0.35, **bounds: int) -> DataFrame:
+    """The rows of docs whose language can be told: not 'und', and with a score of `least` or more."""
+    field = learn(docs, **bounds)
+
+    def chooser() -> Callable[[list[str | None]], list[bool]]:
+        labeller = Labeller(field)
+        return lambda texts: [k != UNDETERMINED and s >= least for k, s, in zip(*labeller(texts)[:2], strict=True)]
+
+    return rows_kept(docs, chooser)

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project, written
+from ._common import batch_of, column_at, pieces, project, written
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -307,3 +307,14 @@ def cross_pairs(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     rows = hot.join(sets.select(F.col("doc_id").alias("id"), "n"), "id").select("signature", "id", "component", "n")
     return rows.repartition("signature").sortWithinPartitions("signature", "n", "id").mapInArrow(run, "a long, b long")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, without those whose group of near copies holds a smaller doc_id.
+
+    Rows without doc_id stay, and rows that share one stay or go together.
+    """
+    gone = join(docs, k, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    at = column_at(docs, "doc_id")
+    plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    return plain.join(gone, F.col(f"_{at}").cast("long") == F.col("doc_id"), "left_anti").toDF(*docs.columns)

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project, written
+from ._common import batch_of, pieces, project, rows_changed, written
 
 # The base patterns, their least lengths (of the value for assign) and the order of kinds.
 KINDS = ("assign", "access", "hex", "format")
@@ -193,39 +193,6 @@ def learn(docs: DataFrame, per_kind: int = 400, ordinary: int = 2000, longest: i
     return Formats(sample, pick(words.where("kind = ''").join(credentials.select("word").distinct(), "word", "left_anti").select("word"), ordinary))
 
 
-def scan(docs: DataFrame, formats: Formats, mask: str | None = None) -> DataFrame:
-    """(doc_id, spans) of every whole text, and with a mask the text in which it hides them. Spans are structs (kind, start, end, score) by start, then kind.
-
-    Offsets are code points, ends exclusive. Base spans have no score. Spans of kind 'format' never touch base spans.
-    Null and empty texts have no span; repeated rows stay.
-    """
-    kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
-    schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(kind))] + ([("text", pa.string())] if mask is not None else []))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float | None] = {}
-        for batch in pieces(batches, "text"):
-            out, hidden = [], []
-            for text in batch.column(1).to_pylist():
-                spans = base_spans(text) if text else []
-                for m in _candidate.finditer(text or ""):
-                    word = m[0]
-                    if word not in known:
-                        if len(known) >= 100_000:
-                            known.clear()
-                        known[word] = formats.score(word)
-                    if known[word] is not None and all(m.end() <= s[0] or m.start() >= s[2] for s in spans):
-                        spans.append((m.start(), 3, m.end(), known[word]))
-                spans.sort(key=lambda s: s[:3])
-                out.append([{"kind": KINDS[k], "start": s, "end": e, "score": x} for s, k, e, x in spans])
-                if mask is not None:
-                    hidden.append(hide(text, [(s[0], s[2]) for s in spans], mask))
-            yield batch_of(schema, [batch.column(0), out] + ([hidden] if mask is not None else []))
-
-    wanted = "doc_id long, spans array<struct<kind:string,start:long,end:long,score:double>>" + (", text string" if mask is not None else "")
-    return project(docs, doc_id="long", text="string").mapInArrow(run, wanted)
-
-
 def joined(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
@@ -246,6 +213,28 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
+class Finder:
+    """All spans (start, kind number, end, score) of a text, in order; keeps the scores of the words it has met."""
+
+    def __init__(self, formats: Formats):
+        self.formats, self.known = formats, {}
+
+    def __call__(self, text: str | None) -> list[tuple[int, int, int, float | None]]:
+        if not text:
+            return []
+        spans, known = base_spans(text), self.known
+        base = list(spans)
+        for m in _candidate.finditer(text):
+            word = m[0]
+            if word not in known:
+                if len(known) >= 100_000:
+                    known.clear()
+                known[word] = self.formats.score(word)
+            if known[word] is not None and all(m.end() <= s[0] or m.start() >= s[2] for s in base):
+                spans.append((m.start(), 3, m.end(), known[word]))
+        return sorted(spans, key=lambda s: s[:3])
+
+
 def hide(text: str | None, spans: list[tuple[int, int]], mask: str) -> str | None:
     """The text with each run of overlapping (start, end) put out by the mask."""
     parts, at = [], 0
@@ -256,6 +245,36 @@ def hide(text: str | None, spans: list[tuple[int, int]], mask: str) -> str | Non
     return "".join([*parts, text[at:]]) if spans else text
 
 
+def scan(docs: DataFrame, formats: Formats) -> DataFrame:
+    """(doc_id, spans) of every whole text: spans are structs (kind, start, end, score) by start, then kind.
+
+    Offsets are code points, ends exclusive. Base spans have no score. Spans of kind 'format' never touch base spans.
+    Null and empty texts have no span; repeated rows stay.
+    """
+    kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(kind))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(formats)
+        for batch in pieces(batches, "text"):
+            found = [finder(t) for t in batch.column(1).to_pylist()]
+            yield batch_of(schema, [batch.column(0), [[{"kind": KINDS[k], "start": s, "end": e, "score": x} for s, k, e, x in spans] for spans in found]])
+
+    wanted = "doc_id long, spans array<struct<kind:string,start:long,end:long,score:double>>"
+    return project(docs, doc_id="long", text="string").mapInArrow(run, wanted)
+
+
 def scan_learned(docs: DataFrame, **bounds: int) -> DataFrame:
     """Learns the formats from docs and scans them."""
     return scan(docs, learn(docs, **bounds))
+
+
+def masked(docs: DataFrame, mask: str = "[secret]", **bounds: int) -> DataFrame:
+    """The rows of docs, all columns, with every secret in their texts put out by the mask and n_chars made right."""
+    formats = learn(docs, **bounds)
+
+    def changer() -> Callable[[list[str | None]], list[str | None]]:
+        finder = Finder(formats)
+        return lambda texts: [hide(t, [(s[0], s[2]) for s in finder(t)], mask) for t in texts]
+
+    return rows_changed(docs, changer)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -45,6 +46,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished work, which it does when the driver has collected its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

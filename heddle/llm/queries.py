@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, ngram_join, secrets, sharding, warc
+from . import decontaminate, langid, ngram_join, secrets, sharding, suffix_dedup, warc
 from . import pieces as piece_model
 from ._common import table
 from .fingerprint import compare_neighbours
@@ -40,6 +40,10 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_byte
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_sharding, op3_decontamination, op4_pieces, op6_langid, op7_fingerprint, op9_ngram_join, op10_warc)}
+    return {f.__name__: f for f in (op1_secrets, op2_sharding, op3_decontamination, op4_pieces, op6_langid, op7_fingerprint, op8_suffix_dedup, op9_ngram_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, ngram_join, secrets, sharding, suffix_dedup, warc
+from . import decontaminate, langid, ngram_join, passages, secrets, sharding, suffix_dedup, warc
 from . import pieces as piece_model
 from ._common import table
 from .fingerprint import compare_neighbours
@@ -32,6 +32,10 @@ def op4_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFram
     return piece_model.round_trip(table(spark, sf_dir, "documents"), piece_model.read_model(model))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_byte
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_sharding, op3_decontamination, op4_pieces, op6_langid, op7_fingerprint, op8_suffix_dedup, op9_ngram_join, op10_warc)}
+    return {f.__name__: f for f in (op1_secrets, op2_sharding, op3_decontamination, op4_pieces, op5_passages, op6_langid, op7_fingerprint, op8_suffix_dedup, op9_ngram_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -273,39 +273,44 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     split = hot.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
     rest = written(cross_pairs(hot.join(split, "signature", "left_semi"), one, percent), "cross")
     if not rest.isEmpty():
-        more = written(links(written(near_enough(rest.distinct(), one, percent), "pairs"), base, k, percent), "links")
+        more = written(links(rest.distinct(), base, k, percent), "links")
         known = written(components(linked.unionByName(more)), "components")
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def cross_pairs(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of fitting sizes that share a large group's signature but not a component yet."""
+    """Pairs (a, b) that share a large group's signature but not a component yet, and that sizes and sketches allow.
+
+    Rows bring their sketches, so what cannot be a link never leaves the group. Reads sorted rows; holds the part of a
+    group whose sizes fit.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window: list[np.ndarray] = [np.empty(0, np.int64)] * 4  # the group's rows that are not too small for what comes
+        window = [np.empty(0, np.int64)] * 4 + [np.empty((0, SKETCH // 64), np.uint64)]
         for batch in batches:
             if not batch.num_rows:
                 continue
             fresh = [batch.column(i).to_numpy() for i in range(4)]  # signature, id, component, n
-            rows = [np.concatenate([w, f]) for w, f in zip(window, fresh, strict=True)]
-            sig, ids, part, n = rows
-            first = len(window[0])
+            fresh.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, SKETCH // 64))
+            sig, ids, part, n, bits = (np.concatenate([w, f]) for w, f in zip(window, fresh, strict=True))
             low = np.searchsorted(sig, sig, side="left")
             out = []
-            for i in range(first, len(sig)):
+            for i in range(len(window[0]), len(sig)):
                 start = low[i] + int(np.searchsorted(100 * n[low[i] : i], percent * n[i], side="left"))
-                other = ids[start:i][part[start:i] != part[i]]
+                other = start + np.flatnonzero(part[start:i] != part[i])
                 if len(other):
-                    out.append((np.minimum(other, ids[i]), np.maximum(other, ids[i])))
+                    apart = np.bitwise_count(bits[other] ^ bits[i]).sum(1, dtype=np.int64)
+                    other = other[n[other] + n[i] - 2 * least_overlap(n[other], n[i], percent) >= apart]
+                    out.append(np.stack([np.minimum(ids[other], ids[i]), np.maximum(ids[other], ids[i])], 1))
             if out:
-                both = np.unique(np.stack([np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])], 1), axis=0)
+                both = np.unique(np.concatenate(out), axis=0)
                 yield batch_of(schema, [pa.array(both[:, 0]), pa.array(both[:, 1])])
             keep = (sig == sig[-1]) & (100 * n >= percent * n[-1])
-            window = [r[keep] for r in rows]
+            window = [r[keep] for r in (sig, ids, part, n, bits)]
 
-    rows = hot.join(sets.select(F.col("doc_id").alias("id"), "n"), "id").select("signature", "id", "component", "n")
+    rows = hot.join(sets.select(F.col("doc_id").alias("id"), "n", "sketch"), "id").select("signature", "id", "component", "n", "sketch")
     return rows.repartition("signature").sortWithinPartitions("signature", "n", "id").mapInArrow(run, "a long, b long")
 
 

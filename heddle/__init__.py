@@ -1,0 +1 @@
+"""A PySpark-native engine for declared tables over files."""

@@ -1,0 +1 @@
+"""Operators beyond a single expression."""

@@ -1,0 +1 @@
+"""Plan reports."""

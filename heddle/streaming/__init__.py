@@ -1,0 +1 @@
+"""Reserved: the declared tables are bounded files, and nothing here is a stream."""

@@ -42,12 +42,15 @@ class Columns:
         return os.path.join(self.folder, f"{kind}{turn & 1}")
 
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.fromfile(self._path("symbols", self.turn), np.int16), np.fromfile(self._path("common", self.turn), np.uint8)
+        return np.fromfile(self._path("symbols", self.turn), np.uint8), np.fromfile(self._path("common", self.turn), np.uint8)
 
     def write(self, symbols: np.ndarray, common: np.ndarray) -> None:
         self.turn += 1
-        symbols.astype(np.int16).tofile(self._path("symbols", self.turn))
-        common.astype(np.uint8).tofile(self._path("common", self.turn))
+        symbols.tofile(self._path("symbols", self.turn))
+        common.tofile(self._path("common", self.turn))
+
+
+NONE = 0xFF  # no symbol before: a byte that UTF-8 never has, greater than all it has
 
 
 def range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -59,7 +62,7 @@ def range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarr
 
 
 def sorted_suffixes(texts: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Column-wise construction over texts: (text number, start, common prefix with the suffix before, at most `most`).
+    """Column-wise construction over UTF-8 texts: (text number, start, common prefix with the suffix before, at most `most`).
 
     Rows are all non-empty suffixes in order; ends of texts are less than any byte and differ from each other. Round j
     inserts the suffixes of length j: with the symbol c before a text's suffix of length j - 1 and that suffix's place,
@@ -68,73 +71,70 @@ def sorted_suffixes(texts: list[bytes], most: int) -> tuple[np.ndarray, np.ndarr
     """
     m = len(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
-    joined = np.frombuffer(b"".join(texts), np.uint8).astype(np.int16)
+    joined = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum(sizes)
     with tempfile.TemporaryDirectory() as folder:
         files = Columns(folder)
-        # Round 0: the empty suffixes; the transform holds the last symbol of each text. -1 stands for no symbol.
-        last = np.where(sizes > 0, joined[np.maximum(ends - 1, 0)], -1) if len(joined) else np.full(m, -1, np.int16)
+        # Round 0: the empty suffixes; the transform holds the last symbol of each text.
+        last = np.full(m, NONE, np.uint8)
+        last[sizes > 0] = joined[ends[sizes > 0] - 1]
         files.write(last, np.zeros(m, np.uint8))
         place, alive = np.arange(m), np.arange(m)
-        owner, length = np.arange(m, dtype=np.int32), np.zeros(m, np.int32)
         for j in range(1, int(sizes.max(initial=0)) + 1):
             symbols, common = files.read()
-            alive_now = sizes[alive] >= j
-            alive, place = alive[alive_now], place[alive_now]
-            # All symbols of the transform map, in stable order, to the places of the suffixes they begin; those of
-            # earlier rounds are in already, the symbols at `place` are this round's.
-            some = np.flatnonzero(symbols >= 0)  # those that begin a suffix
-            order = some[np.argsort(symbols[some].astype(np.uint8), kind="stable")]
-            final = np.empty(len(symbols), np.int64)
-            final[order] = np.arange(len(order)) + m  # after the m empty suffixes
-            target = final[place]
-            sequence = np.argsort(target)
-            alive, place, target = alive[sequence], place[sequence], target[sequence]
+            going = sizes[alive] >= j
+            alive, place = alive[going], place[going]
+            # In stable order the transform's symbols are the first symbols of all suffixes; those of earlier rounds are
+            # in already, and those at `place`, which ascends, begin this round's.
+            order = np.argsort(symbols, kind="stable")
+            fresh = np.zeros(len(symbols), bool)
+            fresh[place] = True
+            rank = np.flatnonzero(fresh[order])
+            place = order[rank]
+            alive = alive[np.searchsorted(np.flatnonzero(fresh), place)]
+            target = m + rank
             # Common prefixes of neighbours in the new order, from the ranges between where they come from.
-            rank = target - m
-            before = np.where(rank > 0, order[rank - 1], 0)
-            same = (rank > 0) & (symbols[before] == symbols[place])
-            fresh = np.zeros(len(place), np.uint8)
-            fresh[same] = np.minimum(range_min(common, before[same] + 1, place[same] + 1) + 1, most)
-            after = np.where(rank + 1 < len(order), order[np.minimum(rank + 1, len(order) - 1)], 0)
-            follows = (rank + 1 < len(order)) & (symbols[after] == symbols[place])
-            later = np.zeros(len(place), np.uint8)
-            later[follows] = np.minimum(range_min(common, place[follows] + 1, after[follows] + 1) + 1, most)
-            total = len(symbols) + len(place)
-            is_new = np.zeros(total, bool)
-            is_new[target] = True
-            put = np.empty(total, np.int16)
-            put[~is_new] = symbols
-            put[target] = np.where(sizes[alive] > j, joined[np.maximum(ends[alive] - j - 1, 0)], -1)
-            shared = np.empty(total, np.uint8)
-            shared[~is_new] = common
-            shared[target] = fresh
-            inner = target + 1 < total
-            shared[target[inner] + 1] = later[inner]
+            own = symbols[place]
+            before, after = order[np.maximum(rank - 1, 0)], order[np.minimum(rank + 1, len(order) - 1)]
+            same = (rank > 0) & (symbols[before] == own)
+            follows = (rank + 1 < len(order)) & (symbols[after] == own)
+            shared_before, shared_after = np.zeros(len(place), np.uint8), np.zeros(len(place), np.uint8)
+            shared_before[same] = np.minimum(range_min(common, before[same] + 1, place[same] + 1) + 1, most)
+            shared_after[follows] = np.minimum(range_min(common, place[follows] + 1, after[follows] + 1) + 1, most)
+            old = np.ones(len(symbols) + len(place), bool)
+            old[target] = False
+            put, shared = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
+            put[old], shared[old] = symbols, common
+            more = sizes[alive] > j
+            put[target] = NONE
+            put[target[more]] = joined[ends[alive[more]] - j - 1]
+            shared[target] = shared_before
+            inner = target + 1 < len(old)
+            shared[target[inner] + 1] = shared_after[inner]
             files.write(put, shared)
-            owner, length = _woven(owner, alive, is_new, target), _woven(length, np.full(len(alive), j), is_new, target)
             place = target
-        _, common = files.read()
+        symbols, common = files.read()
+    # Each text's suffixes, one symbol longer at each step, lie where the transform's ranks lead.
+    final = np.empty(len(symbols), np.int64)
+    final[np.argsort(symbols, kind="stable")] = np.arange(len(symbols)) + m
+    owner, length = np.zeros(len(symbols), np.int64), np.zeros(len(symbols), np.int64)
+    place, alive = np.arange(m), np.arange(m)
+    for j in range(1, int(sizes.max(initial=0)) + 1):
+        place, alive = final[place[sizes[alive] >= j]], alive[sizes[alive] >= j]
+        owner[place], length[place] = alive, j
     full = slice(m, None)
     return owner[full], (sizes[owner] - length)[full], common[full]
 
 
-def _woven(old: np.ndarray, new: np.ndarray, is_new: np.ndarray, target: np.ndarray) -> np.ndarray:
-    out = np.empty(len(is_new), np.int32)
-    out[~is_new] = old
-    out[target] = new
-    return out
-
-
 def segments(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
-    """Of all segments: text number, start, number of windows, anchor's hash, segment's hash."""
+    """Of all segments: text number, start, number of windows, anchor's place, anchor's hash, segment's hash."""
     sizes = np.array([len(t) for t in texts], np.int64)
     begin = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(texts), np.uint8)
     span = width - GRAM + 1
     grams = len(data) - GRAM + 1
     if len(data) < width:
-        return tuple(np.empty(0, np.int64) for _ in range(5))
+        return tuple(np.empty(0, np.int64) for _ in range(6))
     place = np.arange(grams)
     gram = spans_hash(data, place, place + GRAM)
     key = (gram & ~np.uint64((1 << 24) - 1)) | place.astype(np.uint64)
@@ -149,23 +149,23 @@ def segments(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     whole = np.arange(len(anchor)) + width <= (begin + sizes)[owner]
     starts = np.flatnonzero(whole)
     if not len(starts):
-        return tuple(np.empty(0, np.int64) for _ in range(5))
+        return tuple(np.empty(0, np.int64) for _ in range(6))
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (np.diff(starts) != 1) | (anchor[starts[1:]] != anchor[starts[:-1]]) | (owner[starts[1:]] != owner[starts[:-1]])
     at = np.flatnonzero(fresh)
     first = starts[at]
     count = np.diff(np.append(at, len(starts)))
     own = owner[first]
-    return own, first - begin[own], count, gram[anchor[first]].view(np.int64), spans_hash(data, first, first + count - 1 + width).view(np.int64)
+    return own, first - begin[own], count, anchor[first] - first, gram[anchor[first]].view(np.int64), spans_hash(data, first, first + count - 1 + width).view(np.int64)
 
 
-def packed(start: np.ndarray, count: np.ndarray, gone: np.ndarray | int) -> np.ndarray:
-    """Place of a segment in one number that sorts by start."""
-    return (start << 17) | (count << 1) | gone
+def packed(start: np.ndarray, count: np.ndarray, at: np.ndarray, gone: np.ndarray | int) -> np.ndarray:
+    """A segment's start, windows and anchor's place in it, in one number that sorts by start."""
+    return (start << 23) | (count << 12) | (at << 1) | gone
 
 
-def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return place >> 17, (place >> 1) & 0xFFFF, place & 1
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 23, (place >> 12) & 0x7FF, (place >> 1) & 0x7FF, place & 1
 
 
 def chunks(ids: list[int], texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -185,27 +185,27 @@ def postings(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             keys, base, texts = chunks(batch.column(0).to_pylist(), [(t or "").encode() for t in batch.column(1).to_pylist()], width)
-            own, start, count, anchor, segment = segments(texts, width)
+            own, start, count, at, anchor, segment = segments(texts, width)
             if not len(own):
                 continue
             key, start = keys[own], start + base[own]
             order = np.lexsort((start, key, segment, anchor))
-            key, start, count, anchor, segment = (a[order] for a in (key, start, count, anchor, segment))
+            key, start, count, at, anchor, segment = (a[order] for a in (key, start, count, at, anchor, segment))
             head = np.ones(len(key), bool)
             head[1:] = (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])
             first = np.flatnonzero(head)[np.cumsum(head) - 1]
             gone = (key != key[first]) | (start != start[first])
             spread = mix(key.view(np.uint64) ^ mix(start.astype(np.uint64))).view(np.int64)
-            yield batch_of(schema, [pa.array(np.where(gone, spread, anchor)), pa.array(segment), pa.array(key), pa.array(packed(start, count, gone.astype(np.int64)))])
+            yield batch_of(schema, [pa.array(np.where(gone, spread, anchor)), pa.array(segment), pa.array(key), pa.array(packed(start, count, at, gone.astype(np.int64)))])
 
     return docs.mapInArrow(run, "anchor long, segment long, key long, place long")
 
 
 def settled(rows: DataFrame) -> DataFrame:
-    """(gone, anchor, key, start, count): segments that equal an earlier one, and the first of each of the different
+    """(gone, anchor, key, start, count, at): segments that equal an earlier one, and the first of each of the different
     segments of an anchor that has several. Reads sorted rows; keeps two of them between batches.
     """
-    schema = pa.schema([("gone", pa.bool_()), ("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("count", pa.int64())])
+    schema = pa.schema([("gone", pa.bool_()), ("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("count", pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 4
@@ -214,7 +214,7 @@ def settled(rows: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             fresh = [batch.column(i).to_numpy() for i in range(4)]
-            past = unpacked(fresh[3])[2] == 1
+            past = unpacked(fresh[3])[3] == 1
             anchor, segment, key, place = (np.concatenate([h, f[~past]]) for h, f in zip(held, fresh, strict=True))
             was_sent = np.concatenate([sent, np.zeros((~past).sum(), bool)])
             carried = np.arange(len(key)) < len(held[0])
@@ -239,16 +239,16 @@ def settled(rows: DataFrame) -> DataFrame:
                 parts = (key, key, key)
             flags = np.concatenate([np.ones(sum(len(g[0]) for g in gone_parts), bool), np.zeros(len(parts[0]), bool)])
             a, k, p = (np.concatenate([g[i] for g in gone_parts] + [parts[i]]) for i in range(3))
-            start, count, _ = unpacked(p)
-            yield batch_of(schema, [pa.array(c) for c in (flags, a, k, start, count)])
+            start, count, at, _ = unpacked(p)
+            yield batch_of(schema, [pa.array(c) for c in (flags, a, k, start, count, at)])
 
     ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "segment", "key", "place")
-    return ordered.mapInArrow(run, "gone boolean, anchor long, key long, start long, count long")
+    return ordered.mapInArrow(run, "gone boolean, anchor long, key long, start long, count long, at long")
 
 
 def collections(docs: DataFrame, compare: DataFrame, width: int) -> DataFrame:
-    """(anchor, key, start, bytes) of the segments to compare; those of a hot anchor window by window."""
-    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
+    """(anchor, key, start, at, bytes) of the segments to compare; those of a hot anchor window by window."""
+    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -263,16 +263,41 @@ def collections(docs: DataFrame, compare: DataFrame, width: int) -> DataFrame:
                         for i in range(p["count"]):
                             window = own[i : i + width]
                             number = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                            out.append((number, key, p["start"] + i, window))
+                            out.append((number, key, p["start"] + i, 0, window))
                     else:
-                        out.append((p["anchor"], key, p["start"], own))
-            yield batch_of(schema, [[o[i] for o in out] for i in range(4)])
+                        out.append((p["anchor"], key, p["start"], p["at"], own))
+            yield batch_of(schema, [[o[i] for o in out] for i in range(5)])
 
     hot = compare.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(True).alias("hot"))
     marked = compare.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     # A document has at most as many parts as segments.
-    wanted = marked.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count", "hot")).alias("parts"))
-    return docs.join(wanted, "key").select("key", "text", "parts").mapInArrow(run, "anchor long, key long, start long, bytes binary")
+    wanted = marked.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count", "at", "hot")).alias("parts"))
+    return docs.join(wanted, "key").select("key", "text", "parts").mapInArrow(run, "anchor long, key long, start long, at long, bytes binary")
+
+
+def alike(group: list[tuple[int, int, bytes, int]], width: int) -> list[tuple[int, int, bytes]]:
+    """(key, start, bytes) of the segments of one anchor that may share a window with another.
+
+    A window reaches over its anchor by some bytes to the left and the rest to the right. By how many, in steps of a
+    quarter, it covers one of four strings around the anchor, nearly as long as itself; segments that share a window
+    share that string. This cuts what the transform is built from, and never a shared window.
+    """
+    if len(group) < 2:
+        return []
+    slack = width - GRAM
+    step = slack // 4 + 1
+    seen: dict[tuple[int, bytes], int] = {}
+    spans = []
+    for _, _, own, at in group:
+        mine = []
+        for i in range(4):
+            low, high = at - i * step, at + GRAM + slack - (i + 1) * step + 1
+            if low >= 0 and high <= len(own) and i * step <= slack:
+                mine.append((i, own[low : max(high, at + GRAM)]))
+        spans.append(mine)
+        for m in mine:
+            seen[m] = seen.get(m, 0) + 1
+    return [g[:3] for g, mine in zip(group, spans, strict=True) if any(seen[m] > 1 for m in mine)]
 
 
 def repeated(rows: DataFrame, width: int) -> DataFrame:
@@ -295,15 +320,20 @@ def repeated(rows: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, bytes]] = []
+        group: list[tuple[int, int, bytes, int]] = []
         size, last = 0, None
         for batch in batches:
-            for anchor, key, start, own in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if size >= ROUND_BYTES and anchor != last:
-                    yield later(held)
-                    held, size = [], 0
-                held.append((key, start, own))
-                size += len(own)
-                last = anchor
+            for anchor, key, start, at, own in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if anchor != last:
+                    fit = alike(group, width)
+                    held += fit
+                    size += sum(len(f[2]) for f in fit)
+                    group, last = [], anchor
+                    if size >= ROUND_BYTES:
+                        yield later(held)
+                        held, size = [], 0
+                group.append((key, start, own, at))
+        held += alike(group, width)
         if held:
             yield later(held)
 
@@ -370,6 +400,8 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     first. Rows that share a doc_id are one document with several texts, of which none is earlier than another at the
     same place, so a repeated row stays as its twin does. Segments are told apart by 128 bits of hashes.
     """
+    if not GRAM < width <= 250:
+        raise ValueError(f"width must be over {GRAM} and at most 250")
     base = project(docs, doc_id="long", text="string").withColumn("key", F.coalesce("doc_id", F.lit(NO_ID)))
     plain = base.select("key", "text")
     found = written(settled(postings(plain, width)), "segments")

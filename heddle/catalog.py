@@ -83,10 +83,11 @@ class Engine:
         """Checked and kept; files have their own permissions."""
         self.users[user, server.name] = validate("user", options or {})
 
-    def create_table(self, name: str, columns: list, server: Server | None = None, base_dir: str = "", options: dict[str, str] | None = None) -> Table:
+    def create_table(self, name: str, columns: list, server: Server | None = None, base_dir: str = "", options: dict[str, str] | None = None, multiline: bool = True) -> Table:
         """Declares a table over the files that table_name, which may be a glob, names below base_dir, and registers a view.
 
-        columns are (name, type) or (name, type, {"column_name": source}) or Column objects.
+        columns are (name, type) or (name, type, {"column_name": source}) or Column objects. multiline=False says that no CSV
+        field holds a line end, so that large files can be split.
         """
         server = server or Server("local")
         chosen = validate("table", options or {})
@@ -100,7 +101,7 @@ class Engine:
             DeclaredType(c.type)
         path = "/".join(p.rstrip("/") for p in (base_dir, full.get("table_name", name)) if p)
         triples = [(c.source or c.name, c.name, c.type) for c in declared]
-        df = read_parquet(self.spark, path, triples) if full["fmt"] == "parquet" else read_csv(self.spark, path, triples, full)
+        df = read_parquet(self.spark, path, triples) if full["fmt"] == "parquet" else read_csv(self.spark, path, triples, full, multiline)
         fragments = int(full["fragcnt"])
         if fragments > 1 and df.rdd.getNumPartitions() < fragments:
             df = df.repartition(fragments)

@@ -43,18 +43,21 @@ def checked(column: Column, declared: DeclaredType) -> Column:
     return F.when(column.isNull(), None).when(bad, F.raise_error(F.lit(f"expected {declared.dimensions} dimensions without nulls")).cast("array<float>")).otherwise(values)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Columns, options: dict[str, str]) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Columns, options: dict[str, str], multiline: bool = True) -> DataFrame:
     """Declared columns of CSV files, by position. The schema is never inferred.
 
     Types that the CSV source reads well are read so when the null string is empty; others, and all for another null
     string, are read as text and converted: then an empty field is an empty text and only the null string is null.
+
+    With multiline a quoted field may hold line ends, for which a file cannot be split and is one task; without it large
+    files are read by many tasks.
     """
     declared = [(name, DeclaredType(kind)) for _, name, kind in columns]
     nullstr = options["csv_nullstr"]
     direct = [not nullstr and _direct(d) for _, d in declared]
     schema = T.StructType([T.StructField(name, d.spark if ok else T.StringType()) for (name, d), ok in zip(declared, direct, strict=True)])
     reader = spark.read.schema(schema).option("sep", options["csv_delimiter"]).option("quote", options["csv_quote"]).option("escape", options["csv_escape"])
-    reader = reader.option("header", boolean(options["csv_header"])).option("enforceSchema", True).option("multiLine", True).option("mode", "FAILFAST")
+    reader = reader.option("header", boolean(options["csv_header"])).option("enforceSchema", True).option("multiLine", multiline).option("mode", "FAILFAST")
     # A null string that no field can have keeps empty fields apart from null ones.
     rows = reader.option("nullValue", nullstr if not nullstr else "\x00").option("emptyValue", "").csv(path)
     out = []

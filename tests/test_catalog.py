@@ -35,6 +35,19 @@ def test_empty_text_is_not_nullstr(spark, tmp_path):
     assert [r.x for r in df.orderBy("id").collect()] == ["", None]
 
 
+def test_csv_splits_without_multiline(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("".join(f"{i},x\n" for i in range(1000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        make = lambda name, multiline: Engine(spark).create_table(name, [("id", "int4"), ("x", "text")], base_dir=str(tmp_path), options={"fmt": "csv", "table_name": "s.csv"}, multiline=multiline).df
+        whole, split = make("t_whole", True), make("t_split", False)
+        assert whole.agg(F.sum("id")).first() == split.agg(F.sum("id")).first()
+        parts = lambda df: df.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts(whole) == 1 < parts(split)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_parquet_rename_and_declared_type(spark, tmp_path):
     spark.range(3).select(F.col("id").cast("int").alias("C 1"), F.lit("x").alias("c2")).write.parquet(str(tmp_path / "p.parquet"))
     engine = Engine(spark)

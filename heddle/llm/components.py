@@ -31,3 +31,13 @@ def components(links: DataFrame) -> DataFrame:
         before = now
     hung = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return hung.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def extended(known: DataFrame, links: DataFrame) -> DataFrame:
+    """components() of the links that made `known` and of more links: only components are linked, not all nodes again."""
+    nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(known, "id", "left")
+    nodes = written(nodes.select("id", F.coalesce("component", "id").alias("component")), "nodes")
+    at_a, at_b = nodes.toDF("a", "p"), nodes.toDF("b", "q")
+    joined = components(links.join(at_a, "a").join(at_b, "b").select(F.col("p").alias("a"), F.col("q").alias("b"))).toDF("component", "root")
+    every = known.unionByName(nodes.join(known.select("id"), "id", "left_anti"))
+    return every.join(joined, "component", "left").select("id", F.coalesce("root", "component").alias("component"))

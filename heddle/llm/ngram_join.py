@@ -1,9 +1,10 @@
 """N-gram Jaccard join by token-combination prefixes.
 
-Tokens are hashed k-word shingles in one global order: rare ones first, then the frequent class, by hash within each.
-Sets with an overlap of t share two tokens among their first n - t + 2, so they share a rare token or a pair of frequent
-ones there: rare tokens of this extended prefix are indexed singly, frequent tokens as pairs. Longer sets, whose pairs
-would be too many, have their frequent tokens indexed singly; sets near the bound do both, so no partner is missed.
+Tokens are hashed k-word shingles in one global order: rare ones first, then a class of frequent ones, by hash within
+each. Sets with an overlap of t share two tokens among their first n - t + 2. So they share a rare token of this
+extended prefix, or else two frequent ones: rare tokens are indexed singly, and what proves frequent there, in more
+than SMALL prefixes, goes with the frequent class into combinations of two. Longer sets, whose combinations would be
+too many, keep single frequent tokens; sets near the bound have both, so no partner is missed.
 
 Equal sets are one class from the start. A group of a signature gives all pairs of fitting sizes while it is small;
 a larger one first links its members to pivots, and then only pairs between the components that remain. Candidates are
@@ -12,6 +13,7 @@ cut by a parity sketch, whose bits bound the symmetric difference from below, an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,16 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, column_at, pieces, project, written
-from .components import components
+from ._common import batch_of, column_at, pieces, project, release, written
+from .components import components, extended
 from .shingles import mix, shingle_sets
 
 SMALL = 16  # a larger group is linked by pivots; tokens that more sets have are frequent
 MOST_FREQUENT = 1 << 20  # tokens of the frequent class, the most frequent ones: bounds what is broadcast
-PAIRED = 2000  # sets of more tokens have frequent tokens indexed singly
+PAIRED = 2000  # sets of more tokens have no combinations
 SKETCH = 1024
-COUNTED = 16 << 20  # bytes of text in which tokens are counted together, and the count from which they tell
-LOCAL = 3
+FOLDED = 256  # bits of a sketch that is folded to go with the rows of large groups
+BROADCAST = 1 << 19  # document numbers that may be broadcast, 4 MB of them; more are joined
+FILTER = 1 << 23  # bits of the filter of document numbers whose sets are wanted
+COUNTED = 16 << 20  # bytes of text in which tokens are counted together
+LOCAL, SEEN = 2, 6  # counts there that are added up, and the sum from which a token is of the frequent class
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -84,8 +89,11 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
 
 
 def signatures(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(signature, doc_id, n) of every document's extended prefix in the order that puts frequent tokens last."""
-    schema = pa.schema([("signature", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())])
+    """(signature, doc_id, n, token) of every document's extended prefix in the order that puts frequent tokens last.
+
+    Of rare tokens the signature is the token. Frequent ones are named in token, and their signature only spreads them.
+    """
+    schema = pa.schema([("signature", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("token", pa.int64())])
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,33 +103,69 @@ def signatures(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> D
             bounds, hashes = shingle_sets([(t or "").encode().lower() for t in batch.column(1).to_pylist()], k)
             at = np.searchsorted(known, hashes)
             often = (known[np.minimum(at, len(known) - 1)] == hashes) if len(known) else np.zeros(len(hashes), bool)
-            found: list[np.ndarray] = []
-            owner: list[np.ndarray] = []
+            chosen = []
             for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                n = int(b - a)
-                if not n or ids[i] is None:
-                    continue
-                length = prefix_length(n, percent)
-                own, mark = hashes[a:b], often[a:b]
-                rare = own[~mark][:length]
-                common = own[mark][: length - len(rare)]
-                parts = [rare]
-                if n <= PAIRED:
-                    one, two = np.triu_indices(len(common), 1)
-                    parts.append(mix(common[one] + np.uint64(1)) ^ common[two])
-                if 100 * n > percent * PAIRED or n == 1:
-                    parts.append(common)
-                found += parts
-                owner.append(np.full(sum(map(len, parts)), i))
-            if not owner:
+                if b > a and ids[i] is not None:
+                    mark = often[a:b]
+                    chosen.append(a + np.concatenate([np.flatnonzero(~mark), np.flatnonzero(mark)])[: prefix_length(int(b - a), percent)])
+            if not chosen:
                 continue
-            flat, owner = np.concatenate(found).view(np.int64), np.concatenate(owner)
+            chosen = np.concatenate(chosen)
+            owner = np.searchsorted(bounds, chosen, side="right") - 1
             sizes, numbers = np.diff(bounds), np.array([d or 0 for d in ids], np.int64)
             for at in range(0, len(owner), 1 << 18):
-                part = owner[at : at + (1 << 18)]
-                yield batch_of(schema, [pa.array(flat[at : at + (1 << 18)]), pa.array(numbers[part]), pa.array(sizes[part])])
+                own, part = owner[at : at + (1 << 18)], chosen[at : at + (1 << 18)]
+                token, mark = hashes[part], often[part]
+                spread = np.where(mark, mix(token ^ mix(numbers[own].view(np.uint64))), token)
+                yield batch_of(schema, [pa.array(spread.view(np.int64)), pa.array(numbers[own]), pa.array(sizes[own]), pa.array(token.view(np.int64), mask=~mark)])
+
+    return docs.mapInArrow(run, "signature long, doc_id long, n long, token long")
+
+
+def combined(hot: DataFrame, percent: int) -> DataFrame:
+    """(signature, doc_id, n, token) of the combinations of each document's frequent tokens (token, doc_id, n).
+
+    The single tokens of longer sets go with the set's size band and with the next one: partners are in the same band or
+    in neighbouring ones, so they share a signature.
+    A document has at most as many frequent tokens as its prefix is long; reads sorted rows, a document at a time.
+    """
+    schema = pa.schema([("signature", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("token", pa.int64())])
+
+    wide = 1.0001 * math.log(100 / percent) if percent < 100 else 1.0
+
+    def of_documents(token: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        start = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        found, owner, held = [], [], 0
+        for a, b in zip(start, np.append(start[1:], len(ids))):
+            own, size = token[a:b].view(np.uint64), int(n[a])
+            if size <= PAIRED:
+                one, two = np.triu_indices(len(own), 1)
+                found.append(mix(own[one] + np.uint64(1)) ^ own[two])
+            if 100 * size > percent * PAIRED or size == 1:
+                band = int(math.log(size) / wide)
+                found += [mix(mix(own ^ np.uint64(0x2545F4914F6CDD1D)) + np.uint64(b)) for b in (band, band + 1)]
+            owner.append(np.full(sum(map(len, found)) - held, a))
+            held += len(owner[-1])
+            if held >= 1 << 18 or b == len(ids):
+                at = np.concatenate(owner)
+                yield batch_of(schema, [pa.array(np.concatenate(found).view(np.int64)), pa.array(ids[at]), pa.array(n[at]), pa.nulls(len(at), pa.int64())])
+                found, owner, held = [], [], 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(kept)]
+            cut = int(np.flatnonzero(rows[1] == rows[1][-1])[0])
+            kept = [r[cut:] for r in rows]
+            if cut:
+                yield from of_documents(*(r[:cut] for r in rows))
+        if len(kept[0]):
+            yield from of_documents(*kept)
 
-    return docs.mapInArrow(run, "signature long, doc_id long, n long")
+    rows = hot.select("token", "doc_id", "n").repartition("doc_id").sortWithinPartitions("doc_id", "token")
+    return rows.mapInArrow(run, "signature long, doc_id long, n long, token long")
 
 
 def all_pairs(ids: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,13 +175,14 @@ def all_pairs(ids: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray,
     return ids[:, one][fit], ids[:, two][fit]
 
 
-def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows (hot, x, y): hot false, a pair of documents of a group; hot true, signature and document of a large group.
+def candidates(rows: DataFrame, percent: int, pivots: bool) -> DataFrame:
+    """Rows (hot, x, y, n): hot false, a pair of documents of a group; hot true, signature and document of a large group
+    (or of a token named as frequent) and the document's n.
 
-    Reads the groups in sorted order; holds a group of SMALL rows, or of a larger one the pivot to which its next rows
-    are linked. A row that is too large for the pivot becomes the next.
+    Reads the groups in sorted order; holds a group of SMALL rows, or with `pivots` of a larger one the pivot to which
+    its next rows are linked. A row that is too large for the pivot becomes the next.
     """
-    schema = pa.schema([("hot", pa.bool_()), ("x", pa.int64()), ("y", pa.int64())])
+    schema = pa.schema([("hot", pa.bool_()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 3
@@ -150,11 +195,12 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
                 open_group, pivot = sig, (ids[0], n[0])
             while at < len(ids):
                 end = at + int(np.searchsorted(percent * n[at:], 100 * pivot[1], side="right"))
-                out.append((False, ids[at:end], np.full(end - at, pivot[0])))
+                if pivots:
+                    out.append((False, ids[at:end], np.full(end - at, pivot[0]), n[at:end]))
                 if end < len(ids):
                     pivot = (ids[end], n[end])
                 at = end
-            out.append((True, np.full(len(ids), sig), ids))
+            out.append((True, np.full(len(ids), sig), ids, n))
 
         def groups(sig: np.ndarray, ids: np.ndarray, n: np.ndarray, ends: bool) -> tuple[list, list[np.ndarray]]:
             out: list = []
@@ -172,22 +218,29 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
                 at = start[whole & (size == s)]
                 if len(at):
                     index = at[:, None] + np.arange(s)
-                    out.append((False, *all_pairs(ids[index], n[index], percent)))
+                    one, two = all_pairs(ids[index], n[index], percent)
+                    out.append((False, one, two, one))
             return out, keep
 
         def packed(out: list) -> pa.RecordBatch:
-            hot = np.concatenate([np.full(len(x), h) for h, x, _ in out])
-            x, y = np.concatenate([o[1] for o in out]), np.concatenate([o[2] for o in out])
-            ordered = np.stack([hot, np.where(hot, x, np.minimum(x, y)), np.where(hot, y, np.maximum(x, y))], 1)
-            ordered = ordered[(ordered[:, 0] == 1) | (ordered[:, 1] != ordered[:, 2])]
-            ordered = np.unique(ordered, axis=0)
-            return batch_of(schema, [pa.array(ordered[:, 0].astype(bool)), pa.array(ordered[:, 1]), pa.array(ordered[:, 2])])
+            pairs = [o for o in out if not o[0] and len(o[1])]
+            both = np.concatenate([np.stack([np.minimum(o[1], o[2]), np.maximum(o[1], o[2])], 1) for o in pairs]) if pairs else np.empty((0, 2), np.int64)
+            both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
+            large = [np.concatenate([o[i] for o in out if o[0]] or [np.empty(0, np.int64)]) for i in (1, 2, 3)]
+            n = len(both)
+            hot = pa.array(np.arange(n + len(large[0])) >= n)
+            x, y = np.concatenate([both[:, 0], large[0]]), np.concatenate([both[:, 1], large[1]])
+            return batch_of(schema, [hot, pa.array(x), pa.array(y), pa.array(np.concatenate([np.zeros(n, np.int64), large[2]]))])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
-            out, held = groups(*held, False)
+            named = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            sig, ids, n = (batch.column(i).to_numpy() for i in range(3))
+            held = [np.concatenate([h, a[~named]]) for h, a in zip(held, (sig, ids, n), strict=True)]
+            out, held = groups(*held, False) if len(held[0]) else ([], held)
+            if named.any():
+                out.append((True, batch.column(3).filter(pa.array(named)).to_numpy(), ids[named], n[named]))
             if out:
                 yield packed(out)
         if len(held[0]):
@@ -196,7 +249,7 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
                 yield packed(out)
 
     ordered = rows.repartition("signature").sortWithinPartitions("signature", "n", "doc_id")
-    return ordered.mapInArrow(run, "hot boolean, x long, y long")
+    return ordered.mapInArrow(run, "hot boolean, x long, y long, n long")
 
 
 def near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,16 +271,56 @@ def near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n", "sketch_a", "m", "sketch_b").mapInArrow(run, "a long, b long")
 
 
-def links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def folded(bits: np.ndarray) -> np.ndarray:
+    """Sketches of FOLDED bits out of those of SKETCH bits: parities add up, so these bound the difference too."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), SKETCH // FOLDED, FOLDED // 64), axis=1)
+
+
+def filter_of(ids: DataFrame) -> np.ndarray:
+    """A one-hash Bloom filter of FILTER bits of the numbers in column doc_id, made by the tasks and joined here."""
+    schema = pa.schema([("bits", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER, bool)
+        for batch in batches:
+            bits[_places(batch.column(0).to_numpy())] = True
+        yield batch_of(schema, [[np.packbits(bits).tobytes()]])
+
+    out = np.zeros(FILTER // 8, np.uint8)
+    for row in ids.select("doc_id").coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
+        out |= np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER)).astype(np.int64)
+
+
+def token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(doc_id, tokens): the whole sets of the wanted documents (doc_id), and of some others.
+
+    The wanted numbers go along as a filter of a fixed size, so that no text is moved; joins leave out the others.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary())])
+    shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            if batch.num_rows:
+                ids = batch.column(0)
+                keep = bits[_places(ids.fill_null(0).to_numpy())] & ids.is_valid().to_numpy(zero_copy_only=False)
+                for part in pieces([batch.filter(pa.array(keep))], "text"):
+                    bounds, hashes = shingle_sets([(t or "").encode().lower() for t in part.column(1).to_pylist()], k)
+                    yield batch_of(schema, [part.column(0), [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]])
+
+    return docs.mapInArrow(run, "doc_id long, tokens binary")
+
+
+def links(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) those whose whole sets are similar enough."""
-    hashed = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary())])
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            bounds, hashes = shingle_sets([(t or "").encode().lower() for t in batch.column(1).to_pylist()], k)
-            yield batch_of(hashed, [batch.column(0), [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fit = []
@@ -239,9 +332,11 @@ def links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
             fit = pa.array(fit, pa.bool_())
             yield batch_of(schema, [batch.column(0).filter(fit), batch.column(1).filter(fit)])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    tokens = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sets, "doc_id long, tokens binary")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    if ids.count() <= BROADCAST:  # few of the sets are wanted: no others move
+        tokens = tokens.join(F.broadcast(ids), "doc_id", "left_semi")
     both = pairs.join(tokens.toDF("b", "tokens_b"), "b").join(tokens.toDF("a", "tokens_a"), "a")
+    # An id with several texts has several sets; it counts as linked where any of them is.
     return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
@@ -256,31 +351,65 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     base = project(docs, doc_id="long", text="string")
     rows = written(set_rows(base, k), "sets")
     sets = rows.where("n is not null").drop("token", "seen")
-    counts = rows.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") > SMALL)
+    counts = rows.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= SEEN)
     frequent = np.sort(np.array([r.token for r in counts.orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).select("token").collect()], np.int64).view(np.uint64))
     real = sets.where("doc_id is not null and n > 0")
     classes = real.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     member = written(real.join(classes, ["s1", "s2", "n"]).select("doc_id", "rep"), "classes")
     # A document stands for its class; one that shares its id with another text is a class of each.
     reps = member.where("doc_id = rep").select("doc_id").distinct()
-    found = written(candidates(signatures(base, k, percent, frequent).join(reps, "doc_id", "left_semi").select("signature", "doc_id", "n"), percent), "candidates")
-    one = sets.dropDuplicates(["doc_id"])
-    pairs = near_enough(found.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), one, percent)
+    one = sets.where("doc_id is not null").select("doc_id", "n", "sketch").distinct()
+    single = written(candidates(signatures(base, k, percent, frequent).join(reps, "doc_id", "left_semi").select("signature", "doc_id", "n", "token"), percent, False), "candidates")
+    hot = single.where("hot").select(F.col("x").alias("token"), F.col("y").alias("doc_id"), "n")
+    double = written(candidates(combined(hot, percent), percent, True), "combinations")
+    pairs = single.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(double.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
+    pairs = written(near_enough(pairs, one, percent).distinct(), "pairs")
+    release(docs.sparkSession)
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    linked = written(links(written(pairs, "pairs"), base, k, percent), "links").unionByName(same)
+    rest = double.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(rest.select(F.col("id").alias("doc_id"))).distinct()
+    tokens = written(token_sets(base, wanted, k), "tokens")
+    linked = written(links(pairs, tokens, percent), "links").unionByName(same)
+    release(docs.sparkSession)
     known = written(components(linked), "components")
-    hot = found.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id")).join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = hot.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
-    rest = written(cross_pairs(hot.join(split, "signature", "left_semi"), one, percent), "cross")
-    if not rest.isEmpty():
-        more = written(links(rest.distinct(), base, k, percent), "links")
-        known = written(components(linked.unionByName(more)), "components")
+    # Large groups: each document's nearest one of another component, while that links any; then every pair left.
+    short = shortened(one)
+    nearest = True
+    while True:
+        labelled = rest.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
+        apart = written(labelled.join(split, "signature", "left_semi").select("signature", "id", "component"), "rest")
+        near = written(near_enough(cross_pairs(apart, short, percent, nearest).distinct(), one, percent).distinct(), "near")
+        if near.isEmpty() and not nearest:
+            break
+        more = written(links(near, tokens, percent), "links")
+        found = not more.isEmpty()
+        if found:
+            known = written(extended(known, more), "components")
+        release(docs.sparkSession)
+        if not nearest:
+            break
+        rest, nearest = apart.select("signature", "id"), found
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def cross_pairs(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a large group's signature but not a component yet, and that sizes and sketches allow.
+def shortened(sets: DataFrame) -> DataFrame:
+    """(id, n, sketch) with folded sketches."""
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                bits = folded(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, SKETCH // 64))
+                yield batch_of(schema, [batch.column(0), batch.column(1), [row.tobytes() for row in bits]])
+
+    return sets.select("doc_id", "n", "sketch").mapInArrow(run, "id long, n long, sketch binary")
+
+
+def cross_pairs(rows: DataFrame, sets: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) that share a large group's signature but not a component yet, and that sizes and sketches allow;
+    with `nearest`, of each document and group the one with the fewest bits between their sketches.
 
     Rows bring their sketches, so what cannot be a link never leaves the group. Reads sorted rows; holds the part of a
     group whose sizes fit.
@@ -288,12 +417,12 @@ def cross_pairs(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = [np.empty(0, np.int64)] * 4 + [np.empty((0, SKETCH // 64), np.uint64)]
+        window = [np.empty(0, np.int64)] * 4 + [np.empty((0, FOLDED // 64), np.uint64)]
         for batch in batches:
             if not batch.num_rows:
                 continue
             fresh = [batch.column(i).to_numpy() for i in range(4)]  # signature, id, component, n
-            fresh.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, SKETCH // 64))
+            fresh.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, FOLDED // 64))
             sig, ids, part, n, bits = (np.concatenate([w, f]) for w, f in zip(window, fresh, strict=True))
             low = np.searchsorted(sig, sig, side="left")
             out = []
@@ -302,7 +431,10 @@ def cross_pairs(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 other = start + np.flatnonzero(part[start:i] != part[i])
                 if len(other):
                     apart = np.bitwise_count(bits[other] ^ bits[i]).sum(1, dtype=np.int64)
-                    other = other[n[other] + n[i] - 2 * least_overlap(n[other], n[i], percent) >= apart]
+                    fit = n[other] + n[i] - 2 * least_overlap(n[other], n[i], percent) >= apart
+                    other = other[fit]
+                    if nearest and len(other):
+                        other = other[[int(apart[fit].argmin())]]
                     out.append(np.stack([np.minimum(ids[other], ids[i]), np.maximum(ids[other], ids[i])], 1))
             if out:
                 both = np.unique(np.concatenate(out), axis=0)
@@ -310,8 +442,8 @@ def cross_pairs(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = (sig == sig[-1]) & (100 * n >= percent * n[-1])
             window = [r[keep] for r in (sig, ids, part, n, bits)]
 
-    rows = hot.join(sets.select(F.col("doc_id").alias("id"), "n", "sketch"), "id").select("signature", "id", "component", "n", "sketch")
-    return rows.repartition("signature").sortWithinPartitions("signature", "n", "id").mapInArrow(run, "a long, b long")
+    full = rows.join(sets, "id").select("signature", "id", "component", "n", "sketch")
+    return full.repartition("signature").sortWithinPartitions("signature", "n", "id").mapInArrow(run, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

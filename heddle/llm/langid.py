@@ -214,8 +214,11 @@ def learn(docs: DataFrame, per_label: int = 400, passage: int = 64) -> Field:
     """
     rows = project(docs, doc_id="long", text="string", lang="string").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     hashed = rows.withColumn("rank", (F.xxhash64(F.col("doc_id").cast("string")) / float(1 << 63) + 1) / 2)
-    counts = hashed.groupBy("lang").agg(F.count("*").alias("n"))
-    near = hashed.join(counts, "lang").where(F.col("rank") * F.col("n") <= 2 * per_label).select("lang", "rank", "text")
+    counts = hashed.groupBy("lang").count().collect()  # a row for each label, as the field has
+    if not counts:
+        return train([])
+    many = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], r["count"])])
+    near = hashed.where(F.col("rank") * many[F.col("lang")] <= 2 * per_label).select("lang", "rank", "text")
     schema = pa.schema([("lang", pa.string()), ("rank", pa.float64()), ("words", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

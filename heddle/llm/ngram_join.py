@@ -29,6 +29,7 @@ SMALL = 16  # a larger group is linked by pivots; tokens that more sets have are
 MOST_FREQUENT = 1 << 20  # tokens of the frequent class, the most frequent ones: bounds what is broadcast
 PAIRED = 2000  # sets of more tokens have no combinations
 SKETCH = 1024
+PART = 2 << 20  # bytes of text that are hashed at once
 FOLDED = 256  # bits of a sketch that is folded to go with the rows of large groups
 BROADCAST = 1 << 19  # document numbers that may be broadcast, 4 MB of them; more are joined
 FILTER = 1 << 23  # bits of the filter of document numbers whose sets are wanted
@@ -68,7 +69,7 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PART):
             texts = [(t or "").encode().lower() for t in batch.column(1).to_pylist()]
             bounds, hashes = shingle_sets(texts, k)
             out = []
@@ -98,7 +99,7 @@ def signatures(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PART):
             ids = batch.column(0).to_pylist()
             bounds, hashes = shingle_sets([(t or "").encode().lower() for t in batch.column(1).to_pylist()], k)
             at = np.searchsorted(known, hashes)
@@ -310,7 +311,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             if batch.num_rows:
                 ids = batch.column(0)
                 keep = bits[_places(ids.fill_null(0).to_numpy())] & ids.is_valid().to_numpy(zero_copy_only=False)
-                for part in pieces([batch.filter(pa.array(keep))], "text"):
+                for part in pieces([batch.filter(pa.array(keep))], "text", PART):
                     bounds, hashes = shingle_sets([(t or "").encode().lower() for t in part.column(1).to_pylist()], k)
                     yield batch_of(schema, [part.column(0), [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]])
 

@@ -29,6 +29,7 @@ GRAM = 24
 ROUND_BYTES = 2 << 20  # bytes of segments in one collection, unless a single group has more
 HOT = 20_000  # different segments of an anchor, beyond which its group is dealt out by single windows
 CHUNK = 4 << 20  # a longer text is cut into chunks that overlap by a window
+PLACE_BITS = 24  # of the keys that find anchors: fewer bytes than 2^24 are worked on at once
 NO_ID = -(1 << 63)
 
 
@@ -127,7 +128,24 @@ def sorted_suffixes(texts: list[bytes], most: int) -> tuple[np.ndarray, np.ndarr
 
 
 def segments(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
-    """Of all segments: text number, start, number of windows, anchor's place, anchor's hash, segment's hash."""
+    """Of all segments: text number, start, number of windows, anchor's place, anchor's hash, segment's hash.
+
+    Texts are worked on as many at once as places have bits for; none may be longer than that.
+    """
+    parts, first, held = [], 0, 0
+    for i, text in enumerate([*texts, None]):
+        if text is not None and len(text) >= 1 << PLACE_BITS:
+            raise ValueError(f"a text of {len(text)} bytes has places of more than {PLACE_BITS} bits")
+        if text is None or held + len(text) >= 1 << PLACE_BITS:
+            own, *rest = joined_segments(texts[first:i], width)
+            parts.append((own + first, *rest))
+            first, held = i, 0
+        held += len(text or b"")
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def joined_segments(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
+    """segments() of texts with fewer bytes than 2^PLACE_BITS in all."""
     sizes = np.array([len(t) for t in texts], np.int64)
     begin = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -137,14 +155,14 @@ def segments(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
         return tuple(np.empty(0, np.int64) for _ in range(6))
     place = np.arange(grams)
     gram = spans_hash(data, place, place + GRAM)
-    key = (gram & ~np.uint64((1 << 24) - 1)) | place.astype(np.uint64)
+    key = (gram & ~np.uint64((1 << PLACE_BITS) - 1)) | place.astype(np.uint64)
     reach = 1
     while reach * 2 <= span:
         key = np.minimum(key[:-reach], key[reach:])
         reach *= 2
     if reach < span:
         key = np.minimum(key[: len(key) - (span - reach)], key[span - reach :])
-    anchor = (key & np.uint64((1 << 24) - 1)).astype(np.int64)  # of the window that starts at each byte
+    anchor = (key & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)  # of the window that starts at each byte
     owner = np.repeat(np.arange(len(texts)), sizes)[: len(anchor)]
     whole = np.arange(len(anchor)) + width <= (begin + sizes)[owner]
     starts = np.flatnonzero(whole)

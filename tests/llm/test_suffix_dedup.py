@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -82,3 +84,25 @@ def test_awkward(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     assert sorted(map(tuple, S.digest(S.remove_repeats(docs)).collect()), key=repr) == brute(rows)
     assert S.digest(S.remove_repeats(empty(spark))).count() == 0
+
+
+def test_texts_beyond_the_bits_of_a_place(spark, monkeypatch):
+    """A text of more bytes than a place has bits for is worked on in parts; repeats far into it are found."""
+    monkeypatch.setattr(S, "CHUNK", 4_000)
+    monkeypatch.setattr(S, "PLACE_BITS", 13)
+    rng = random.Random(17)
+    shared = prose(rng, 40)
+    rows = [(0, f"{prose(rng, 30)} {shared}", None, None, 0), (1, f"{prose(rng, 6_000)} {shared} {prose(rng, 100)} {shared}", None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(map(tuple, S.digest(S.remove_repeats(docs)).collect()), key=repr) == brute(rows)
+    with pytest.raises(ValueError):
+        S.segments([b"x" * (1 << 13)], 100)
+
+
+def test_segments_do_not_depend_on_what_is_joined():
+    """Segments of a text beyond the first 2^24 bytes of a batch equal those of the text alone."""
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(97, 107, S.CHUNK).astype(np.uint8).tobytes() for _ in range(5)]
+    together, alone = S.segments(parts, 100), S.segments(parts[4:], 100)
+    last = together[0] == 4
+    assert all((a[last] == b).all() for a, b in zip(together[1:], alone[1:], strict=True)) and (together[3] >= 0).all()

@@ -29,8 +29,8 @@ from ._common import batch_of, pieces, project, rows_kept
 SHORT = 16  # items under so many characters are looked for as they are, at word bounds
 WIDEST = 64  # of the size classes' windows; longer items are hashed by windows of this length at all offsets
 SAMPLES = 8  # sampled places of a hash
-WALKS = 2
-FAR = 0.25  # embeddings that differ in more of their places are not near; unrelated ones differ in nine of ten
+WALKS = 4
+FAR = 0.4  # embeddings that differ in more of their places are not near; pairs with a fifth of edits differ in a quarter on average
 SPOILED = 2.5  # places of an embedding that an edit changes, on average
 _TABLE = 20  # bits of the table that is looked at first
 _token = re.compile(r"[^\W_]+")
@@ -43,7 +43,8 @@ def normalised(text: str | None) -> str:
 def repeats(recall: float, fraction: float, window: int, windows: int) -> int:
     """Hashes with which a pair collides in one of its `windows` aligned windows with probability `recall`.
 
-    Edits are taken to be as many as allowed and spread evenly. A walk of `window` steps reads about half as many
+    windows: those that the shortest item of a class is sure of. Edits are taken to be as many as allowed and spread
+    evenly. A walk of `window` steps reads about half as many
     characters, and an edit spoils SPOILED of its places.
     """
     clean = max(0.05, 1 - SPOILED * fraction * (window / 2) / window)
@@ -80,8 +81,8 @@ class SizeClass:
     def __init__(self, items: list[tuple[int, str]], window: int, fraction: float, recall: float):
         rng = np.random.default_rng(window)
         self.window, self.stride, self.steps = window, max(1, window * 3 // 8), window
-        aligned = (min(len(t) for _, t in items) - (window - self.stride)) // self.stride + 1
-        reps = repeats(recall, fraction, window, max(1, aligned))
+        offsets = max(0, min(len(t) for _, t in items) - (window - self.stride)) + 1  # at which the shortest is hashed
+        reps = repeats(recall, fraction, window, max(1, offsets // self.stride))
         self.bits = rng.integers(0, 2, (WALKS, self.steps, 256)).astype(np.int32)
         self.places = [[np.sort(rng.choice(self.steps, SAMPLES, replace=False)) for _ in range(-(-reps // WALKS))] for _ in range(WALKS)]
         text = "".join(t + "\0" * window for _, t in items)

@@ -64,3 +64,15 @@ def test_awkward(spark):
     assert D.leaks(empty(spark), bench).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.leaks(docs, none).count() == 0 and D.without_leaks(docs, none).count() == len(rows)
+
+
+def test_recall_of_shorter_items():
+    """Items that are sure of a single aligned window are found at 15 to 20 % of edits, too."""
+    rng = random.Random(12)
+    items = [prose(rng, 30)[: 80 + i % 30].strip() for i in range(60)]
+    index = D.Index(list(enumerate(items)), 0.2, 0.95)
+    for share in (0.15, 0.18, 0.2):
+        texts = [f"{prose(rng, 40)} {edited(rng, t, int(share * len(t)))} {prose(rng, 40)}" for t in items]
+        found = {(d, i) for d, i, _, _ in index.search(texts)}
+        n = sum((i, i) in found for i in range(len(items)))
+        assert n >= 0.9 * len(items), f"{n} of {len(items)} at {share}"

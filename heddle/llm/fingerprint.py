@@ -103,8 +103,8 @@ def mixed(words: np.ndarray) -> np.ndarray:
 def digests(texts: list[bytes]) -> list[np.ndarray]:
     """For each text its chain of filters, as a bool array with a row for each filter.
 
-    In a text under SHORT_TEXT bytes each window of SHORT_WINDOW bytes (or the whole text) is one feature; an empty
-    text has no filter.
+    In a text under SHORT_TEXT bytes, or a longer one without a feature, each window of SHORT_WINDOW bytes (or the whole
+    text) is one feature; an empty text has no filter.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
@@ -115,6 +115,7 @@ def digests(texts: list[bytes]) -> list[np.ndarray]:
     if len(owner):
         keep = ~small[owner]
         owner, at, hashes = owner[keep], at[keep], hashes[keep]
+    small |= np.bincount(owner, minlength=len(texts)) == 0  # longer, but of a symbol or two: no window has a rank
     small &= sizes > 0
     if small.any():
         found = [(i, starts[i] + k, texts[i][k : k + SHORT_WINDOW].ljust(WINDOW, b"\0")) for i in np.flatnonzero(small) for k in range(max(1, sizes[i] - SHORT_WINDOW + 1))]

@@ -87,3 +87,9 @@ def test_awkward(spark):
     assert fp.fingerprint(docs).count() == len(rows)
     one = spark.createDataFrame([rows[0]], SCHEMA)
     assert fp.compare_neighbours(one).first().near_next == 1
+
+
+def test_long_texts_of_one_or_two_symbols_are_told_apart():
+    a, b, c, empty, again = fp.digests([b"a" * 300, b"b" * 300, b"xy" * 200, b"", b"a" * 300])
+    assert len(a) and len(b) and len(c) and not len(empty)
+    assert fp.likeness(a, again) == 1.0 and max(fp.likeness(a, b), fp.likeness(a, c), fp.likeness(a, empty)) < 1.0

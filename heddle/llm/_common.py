@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -12,7 +13,9 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+BATCH_BYTES = 4 << 20  # of an Arrow batch, on either side of the pipe to Python
 _OWN_DIRS: dict[str, str] = {}
 _SCRATCH: dict[str, list[str]] = {}
 
@@ -43,7 +46,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._heddle_path = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Deletes what written() has left of tables that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_heddle_path", None)
+        if path:
+            _SCRATCH[df.sparkSession.sparkContext.applicationId].remove(path)
+            delete_path(df.sparkSession, path)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the session's size of an Arrow batch to BATCH_BYTES, unless it is smaller; it changes no result.
+
+    Rows of texts and sets differ in size by orders of magnitude, and the default of 64 MB is held several times over by
+    an executor and its workers.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) whose workers give freed memory back to the system when a task ends: idle ones stay."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            return
+
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(lean, schema)
 
 
 def release(spark: SparkSession) -> None:
@@ -121,7 +162,7 @@ def rows_kept(docs: DataFrame, chooser: Callable[[], Callable[[list[str | None]]
         for batch in pieces(batches, at):
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
-    return _clashing(docs, lambda df: df.mapInArrow(run, df.schema))
+    return _clashing(docs, lambda df: in_arrow(df, run, df.schema))
 
 
 def rows_changed(docs: DataFrame, changer: Callable[[], Callable[[list[str | None]], list[str | None]]], text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
@@ -139,7 +180,7 @@ def rows_changed(docs: DataFrame, changer: Callable[[], Callable[[list[str | Non
                 columns[counted] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch.schema.field(counted).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return _clashing(docs, lambda df: df.mapInArrow(run, df.schema))
+    return _clashing(docs, lambda df: in_arrow(df, run, df.schema))
 
 
 def _clashing(df: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import dropped, written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) of every node of links (a, b): the smallest id that can be reached.
+    """(id, component), written, of every node of links (a, b): the smallest id that can be reached.
 
     A step hangs a node's neighbours on the smallest of them, which is a minimum that is combined before the shuffle
     and joined back. Steps end when nothing changes, after about as many as the logarithm of a component's size.
@@ -24,13 +24,16 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        edges = written(small.select(F.col("v").alias("u"), "m").unionByName(small.select("u", "m")).where("u <> m").select("u", F.col("m").alias("v")).distinct(), "edges")
+        last, edges = edges, written(small.select(F.col("v").alias("u"), "m").unionByName(small.select("u", "m")).where("u <> m").select("u", F.col("m").alias("v")).distinct(), "edges")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        dropped(last)
         if now == before:
             break
         before = now
     hung = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return hung.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    out = written(hung.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()), "components")
+    dropped(edges)
+    return out
 
 
 def extended(known: DataFrame, links: DataFrame) -> DataFrame:
@@ -38,6 +41,8 @@ def extended(known: DataFrame, links: DataFrame) -> DataFrame:
     nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(known, "id", "left")
     nodes = written(nodes.select("id", F.coalesce("component", "id").alias("component")), "nodes")
     at_a, at_b = nodes.toDF("a", "p"), nodes.toDF("b", "q")
-    joined = components(links.join(at_a, "a").join(at_b, "b").select(F.col("p").alias("a"), F.col("q").alias("b"))).toDF("component", "root")
+    joined = components(links.join(at_a, "a").join(at_b, "b").select(F.col("p").alias("a"), F.col("q").alias("b")))
     every = known.unionByName(nodes.join(known.select("id"), "id", "left_anti"))
-    return every.join(joined, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+    out = written(every.join(joined.toDF("component", "root"), "component", "left").select("id", F.coalesce("root", "component").alias("component")), "components")
+    dropped(nodes, joined)
+    return out

@@ -7,8 +7,10 @@ than SMALL prefixes, goes with the frequent class into combinations of two. Long
 too many, keep single frequent tokens; sets near the bound have both, so no partner is missed.
 
 Equal sets are one class from the start. A group of a signature gives all pairs of fitting sizes while it is small;
-a larger one first links its members to pivots, and then only pairs between the components that remain. Candidates are
-cut by a parity sketch, whose bits bound the symmetric difference from below, and verified on their whole sets.
+a larger one first links its members to pivots. Of large groups with the same members one stands for all. In those that
+hold several components, which are dealt out in pairs of blocks, each member meets its nearest ones of other components,
+and again while it has more that fit. Candidates are cut by a parity sketch, as long as the set is large, whose bits
+bound the symmetric difference from below, and verified on their whole texts: of a pair one text moves to the other's.
 """
 
 from __future__ import annotations
@@ -21,19 +23,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, column_at, pieces, project, release, written
+from ._common import batch_of, column_at, dropped, in_arrow, pieces, project, release, written
 from .components import components, extended
 from .shingles import mix, shingle_sets
 
 SMALL = 16  # a larger group is linked by pivots; tokens that more sets have are frequent
 MOST_FREQUENT = 1 << 20  # tokens of the frequent class, the most frequent ones: bounds what is broadcast
 PAIRED = 2000  # sets of more tokens have no combinations
-SKETCH = 1024
-PART = 2 << 20  # bytes of text that are hashed at once
-FOLDED = 256  # bits of a sketch that is folded to go with the rows of large groups
-BROADCAST = 1 << 19  # document numbers that may be broadcast, 4 MB of them; more are joined
-FILTER = 1 << 23  # bits of the filter of document numbers whose sets are wanted
-COUNTED = 16 << 20  # bytes of text in which tokens are counted together
+SKETCH = (256, 8192)  # fewest and most bits of a sketch, which has two to four for each token between these
+PART = 1 << 19  # bytes of text that are hashed at once
+BROADCAST = 1 << 18  # rows of a few numbers that may be broadcast, 8 MB of them; more are joined
+FILTER = 1 << 23  # bits of the filter of document numbers whose texts are wanted
+COUNTED = 8 << 20  # bytes of text in which tokens are counted together
+BLOCK = 4096  # members of a large group that meet each other in one task
+NEAREST = 8  # partners that a member of a large group gets at once
+HUB = 512  # texts that are verified against one other in a task
 LOCAL, SEEN = 2, 6  # counts there that are added up, and the sum from which a token is of the frequent class
 
 
@@ -49,8 +53,23 @@ def prefix_length(n: int, percent: int, more: int = 2) -> int:
 
 
 def sketch(hashes: np.ndarray) -> bytes:
-    """Parity of the tokens that fall on each bit: a common token changes no bit of two sketches' difference."""
-    return np.packbits((np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
+    """Parity of the tokens that fall on each bit: a common token changes no bit of two sketches' difference.
+
+    The longer sketch of a larger set folds onto a shorter one by exclusive or, for a bit's place is the token's rest.
+    """
+    bits = min(SKETCH[1], max(SKETCH[0], 1 << (2 * len(hashes)).bit_length()))
+    return np.packbits((np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of `size` bytes, in 64-bit numbers; none is shorter."""
+    out = np.empty((len(sketches), size // 8), np.uint64)
+    lengths = np.array([len(x) for x in sketches])
+    for n in np.unique(lengths):
+        at = np.flatnonzero(lengths == n)
+        rows = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(len(at), n // size, size // 8)
+        out[at] = np.bitwise_xor.reduce(rows, axis=1)
+    return out
 
 
 def set_rows(docs: DataFrame, k: int) -> DataFrame:
@@ -86,7 +105,7 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
         if held:
             yield counted(held)
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sketch binary, token long, seen long")
+    return in_arrow(docs, run, "doc_id long, n long, s1 long, s2 long, sketch binary, token long, seen long")
 
 
 def signatures(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -120,7 +139,7 @@ def signatures(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> D
                 spread = np.where(mark, mix(token ^ mix(numbers[own].view(np.uint64))), token)
                 yield batch_of(schema, [pa.array(spread.view(np.int64)), pa.array(numbers[own]), pa.array(sizes[own]), pa.array(token.view(np.int64), mask=~mark)])
 
-    return docs.mapInArrow(run, "signature long, doc_id long, n long, token long")
+    return in_arrow(docs, run, "signature long, doc_id long, n long, token long")
 
 
 def combined(hot: DataFrame, percent: int) -> DataFrame:
@@ -166,7 +185,7 @@ def combined(hot: DataFrame, percent: int) -> DataFrame:
             yield from of_documents(*kept)
 
     rows = hot.select("token", "doc_id", "n").repartition("doc_id").sortWithinPartitions("doc_id", "token")
-    return rows.mapInArrow(run, "signature long, doc_id long, n long, token long")
+    return in_arrow(rows, run, "signature long, doc_id long, n long, token long")
 
 
 def all_pairs(ids: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +269,7 @@ def candidates(rows: DataFrame, percent: int, pivots: bool) -> DataFrame:
                 yield packed(out)
 
     ordered = rows.repartition("signature").sortWithinPartitions("signature", "n", "doc_id")
-    return ordered.mapInArrow(run, "hot boolean, x long, y long, n long")
+    return in_arrow(ordered, run, "hot boolean, x long, y long, n long")
 
 
 def near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -262,19 +281,18 @@ def near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             n, m = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for i in (3, 5)]
-            apart = np.bitwise_count(bits[0] ^ bits[1]).sum(1, dtype=np.int64)
+            one, two = (batch.column(i).to_pylist() for i in (3, 5))
+            size = np.array([min(len(x), len(y)) for x, y in zip(one, two, strict=True)])
+            apart = np.zeros(len(n), np.int64)
+            for s in np.unique(size):
+                at = np.flatnonzero(size == s)
+                apart[at] = np.bitwise_count(folded([one[i] for i in at], s) ^ folded([two[i] for i in at], s)).sum(1, dtype=np.int64)
             fit = n + m - 2 * least_overlap(n, m, percent) >= apart
             yield batch_of(schema, [batch.column(0).filter(pa.array(fit)), batch.column(1).filter(pa.array(fit))])
 
     own = sets.select("doc_id", "n", "sketch")
     both = pairs.join(own.toDF("a", "n", "sketch_a"), "a").join(own.toDF("b", "m", "sketch_b"), "b")
-    return both.select("a", "b", "n", "sketch_a", "m", "sketch_b").mapInArrow(run, "a long, b long")
-
-
-def folded(bits: np.ndarray) -> np.ndarray:
-    """Sketches of FOLDED bits out of those of SKETCH bits: parities add up, so these bound the difference too."""
-    return np.bitwise_xor.reduce(bits.reshape(len(bits), SKETCH // FOLDED, FOLDED // 64), axis=1)
+    return in_arrow(both.select("a", "b", "n", "sketch_a", "m", "sketch_b"), run, "a long, b long")
 
 
 def filter_of(ids: DataFrame) -> np.ndarray:
@@ -288,7 +306,7 @@ def filter_of(ids: DataFrame) -> np.ndarray:
         yield batch_of(schema, [[np.packbits(bits).tobytes()]])
 
     out = np.zeros(FILTER // 8, np.uint8)
-    for row in ids.select("doc_id").coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
+    for row in in_arrow(ids.select("doc_id").coalesce(16), run, "bits binary").toLocalIterator():
         out |= np.frombuffer(row.bits, np.uint8)
     return out
 
@@ -297,12 +315,11 @@ def _places(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER)).astype(np.int64)
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(doc_id, tokens): the whole sets of the wanted documents (doc_id), and of some others.
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is wanted, and some others.
 
     The wanted numbers go along as a filter of a fixed size, so that no text is moved; joins leave out the others.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary())])
     shared = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,141 +327,211 @@ def token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 ids = batch.column(0)
-                keep = bits[_places(ids.fill_null(0).to_numpy())] & ids.is_valid().to_numpy(zero_copy_only=False)
-                for part in pieces([batch.filter(pa.array(keep))], "text", PART):
-                    bounds, hashes = shingle_sets([(t or "").encode().lower() for t in part.column(1).to_pylist()], k)
-                    yield batch_of(schema, [part.column(0), [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]])
+                yield batch.filter(pa.array(bits[_places(ids.fill_null(0).to_numpy())] & ids.is_valid().to_numpy(zero_copy_only=False)))
+
+    return in_arrow(docs, run, docs.schema)
 
-    return docs.mapInArrow(run, "doc_id long, tokens binary")
 
+def links(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
+    """Of pairs (a, b) those whose whole sets are similar enough.
 
-def links(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) those whose whole sets are similar enough."""
+    The document of a pair that has more partners is its hub. The others' texts move to it, HUB of them to each copy of
+    it, and a task holds a hub's set and a few texts. An id with several texts has several sets; it counts as linked
+    where any of them is.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    seen = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").count()
+    sides = pairs.join(seen.toDF("a", "n"), "a").join(seen.toDF("b", "m"), "b")
+    first = F.col("n") >= F.col("m")
+    stars = sides.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("doc_id"), F.greatest("n", "m").alias("n"))
+    stars = stars.select("hub", "doc_id", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / HUB)).alias("copy"))
+    hubs = stars.select("hub", "copy").distinct().select("hub", F.col("hub").alias("doc_id"), "copy", F.lit(0).alias("turn"))
+    moves = written(hubs.unionByName(stars.withColumn("turn", F.lit(1))), "moves")
+    few = moves.count() <= BROADCAST
+    moved = texts.join(F.broadcast(moves) if few else moves, "doc_id").select("hub", "copy", "turn", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fit = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                fit.append(100 * common >= percent * (len(x) + len(y) - common))
-            fit = pa.array(fit, pa.bool_())
-            yield batch_of(schema, [batch.column(0).filter(fit), batch.column(1).filter(fit)])
-
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if ids.count() <= BROADCAST:  # few of the sets are wanted: no others move
-        tokens = tokens.join(F.broadcast(ids), "doc_id", "left_semi")
-    both = pairs.join(tokens.toDF("b", "tokens_b"), "b").join(tokens.toDF("a", "tokens_a"), "a")
-    # An id with several texts has several sets; it counts as linked where any of them is.
-    return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
+        current, own = None, []
+        for batch in pieces(batches, "text", PART):
+            bounds, hashes = shingle_sets([(t or "").encode().lower() for t in batch.column(4).to_pylist()], k)
+            out = []
+            for i, (hub, copy, turn, doc) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
+                found = hashes[bounds[i] : bounds[i + 1]]
+                if (hub, copy) != current:
+                    current, own = (hub, copy), []
+                if not turn:
+                    own.append(found.copy())
+                elif len(found) and any(linked(found, x, percent) for x in own):
+                    out.append((min(hub, doc), max(hub, doc)))
+            if out:
+                yield batch_of(schema, [[o[i] for o in out] for i in (0, 1)])
+
+    return in_arrow(moved.repartition("hub", "copy").sortWithinPartitions("hub", "copy", "turn"), run, "a long, b long").distinct()
+
+
+def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sets, as ascending hashes, are similar enough."""
+    if not len(two) or 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
+        return False
+    at = np.searchsorted(two, one)
+    common = int(np.count_nonzero(two[np.minimum(at, len(two) - 1)] == one))
+    return 100 * common >= percent * (len(one) + len(two) - common)
 
 
 def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; see the contract of op9.
 
     Words are split at ASCII white space after lower-casing A-Z. Sets with intersection x 100 >= percent x union are
-    linked; component_id is the smallest doc_id that links reach. Null, empty and blank texts have no shingle and no
-    link. Rows without doc_id have no component; rows that share one count as one document and are linked. Repeated rows
-    stay. Sets are compared as 64-bit hashes of their shingles.
+    linked, where percent is over 50; component_id is the smallest doc_id that links reach. Null, empty and blank texts
+    have no shingle and no link. Rows without doc_id have no component; rows that share one count as one document and
+    are linked. Repeated rows stay. Sets are compared as 64-bit hashes of their shingles.
     """
+    if not 50 < percent <= 100:
+        raise ValueError(f"percent must be over 50 and at most 100, not {percent}")
+    spark = docs.sparkSession
     base = project(docs, doc_id="long", text="string")
     rows = written(set_rows(base, k), "sets")
     sets = rows.where("n is not null").drop("token", "seen")
     counts = rows.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= SEEN)
-    frequent = np.sort(np.array([r.token for r in counts.orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).select("token").collect()], np.int64).view(np.uint64))
+    frequent = np.sort(counts.orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).select("token").toArrow()["token"].to_numpy().view(np.uint64))
     real = sets.where("doc_id is not null and n > 0")
     classes = real.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     member = written(real.join(classes, ["s1", "s2", "n"]).select("doc_id", "rep"), "classes")
     # A document stands for its class; one that shares its id with another text is a class of each.
     reps = member.where("doc_id = rep").select("doc_id").distinct()
+    others = member.where("doc_id <> rep").select("doc_id").distinct().join(reps, "doc_id", "left_anti")
+    every = signatures(base, k, percent, frequent)
+    every = every.join(F.broadcast(others), "doc_id", "left_anti") if others.count() <= BROADCAST else every.join(reps, "doc_id", "left_semi")
     one = sets.where("doc_id is not null").select("doc_id", "n", "sketch").distinct()
-    single = written(candidates(signatures(base, k, percent, frequent).join(reps, "doc_id", "left_semi").select("signature", "doc_id", "n", "token"), percent, False), "candidates")
+    single = written(candidates(every.select("signature", "doc_id", "n", "token"), percent, False), "candidates")
+    release(spark)
     hot = single.where("hot").select(F.col("x").alias("token"), F.col("y").alias("doc_id"), "n")
     double = written(candidates(combined(hot, percent), percent, True), "combinations")
+    release(spark)
     pairs = single.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(double.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
     pairs = written(near_enough(pairs, one, percent).distinct(), "pairs")
-    release(docs.sparkSession)
+    rest = written(unlike_groups(double.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id"))), "groups")
+    dropped(single, double)
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    rest = double.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(rest.select(F.col("id").alias("doc_id"))).distinct()
-    tokens = written(token_sets(base, wanted, k), "tokens")
-    linked = written(links(pairs, tokens, percent), "links").unionByName(same)
-    release(docs.sparkSession)
-    known = written(components(linked), "components")
-    # Large groups: each document's nearest one of another component, while that links any; then every pair left.
-    short = shortened(one)
-    nearest = True
+    texts = written(texts_of(base, wanted), "texts")
+    found = written(links(pairs, texts, percent, k), "links")
+    known = components(found.unionByName(same))
+    dropped(found, pairs)
+    release(spark)
+    # Large groups: pairs of different components, first of each member and its nearest ones, while these link any.
+    most: int | None = NEAREST
     while True:
         labelled = rest.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
-        apart = written(labelled.join(split, "signature", "left_semi").select("signature", "id", "component"), "rest")
-        near = written(near_enough(cross_pairs(apart, short, percent, nearest).distinct(), one, percent).distinct(), "near")
-        if near.isEmpty() and not nearest:
-            break
-        more = written(links(near, tokens, percent), "links")
-        found = not more.isEmpty()
-        if found:
-            known = written(extended(known, more), "components")
-        release(docs.sparkSession)
-        if not nearest:
+        split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high").select("signature", "size")
+        near = written(cross_pairs(labelled.join(split, "signature"), one, percent, most), "near")
+        pairs = near.where("signature is null").select("a", "b").distinct()
+        more = written(links(pairs, texts, percent, k), "links")
+        linking = not more.isEmpty()
+        if linking:
+            before, known = known, extended(known, more)
+            dropped(before)
+        before, rest = rest, written(near.where("signature is not null").select("signature", F.col("a").alias("id")).distinct(), "groups")
+        dropped(before, more, near)
+        release(spark)
+        if most is None or rest.isEmpty():
             break
-        rest, nearest = apart.select("signature", "id"), found
+        most = NEAREST if linking else None
+    dropped(texts, rest)
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def shortened(sets: DataFrame) -> DataFrame:
-    """(id, n, sketch) with folded sketches."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+def unlike_groups(rows: DataFrame) -> DataFrame:
+    """Of (signature, id) one signature of all that have the same members, told by their number and two sums of hashes."""
+    print_of = rows.groupBy("signature").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    return rows.join(print_of.groupBy("c", "x", "y").agg(F.min("signature").alias("signature")).select("signature"), "signature", "left_semi")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                bits = folded(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, SKETCH // 64))
-                yield batch_of(schema, [batch.column(0), batch.column(1), [row.tobytes() for row in bits]])
-
-    return sets.select("doc_id", "n", "sketch").mapInArrow(run, "id long, n long, sketch binary")
 
+def cross_pairs(rows: DataFrame, sets: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Of large groups' members (signature, id, component, size of the group), two kinds of rows (signature, a, b): with
+    no signature, pairs of members of different components that sizes and sketches allow, of each member those with its
+    `most` nearest smaller ones; and (signature, id, null) of members with more such partners, and of these.
 
-def cross_pairs(rows: DataFrame, sets: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) that share a large group's signature but not a component yet, and that sizes and sketches allow;
-    with `nearest`, of each document and group the one with the fewest bits between their sketches.
-
-    Rows bring their sketches, so what cannot be a link never leaves the group. Reads sorted rows; holds the part of a
-    group whose sizes fit.
+    A group is dealt out in pairs of blocks of about BLOCK members; reads sorted rows and holds one such pair.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("signature", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    full = rows.join(sets.withColumnRenamed("doc_id", "id"), "id").select("signature", "id", "component", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    full = full.select("signature", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "component", "n", "sketch", "own")
+
+    def of_group(sig: int, cross: bool, ids: np.ndarray, part: np.ndarray, n: np.ndarray, own: np.ndarray, bits: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if (part == part[0]).all() or cross and (own == own[0]).all():
+            return
+        sizes = np.array([len(b) for b in bits])
+        level, words = 0, np.empty((0, 0), np.uint64)
+        start, at = 0, 0
+        while at < len(ids):
+            start = int(np.searchsorted(100 * n, percent * n[at], side="left"))
+            if sizes[start] != level:  # sizes ascend along a group
+                level, first = int(sizes[start]), int(np.searchsorted(sizes, sizes[start]))
+                words = folded(bits[first:], level)
+            end = min(len(ids), at + max(1, (1 << 19) // ((len(ids) - start) * (level // 8))))
+            end = max(at + 1, min(end, int(np.searchsorted(n, n[at] + n[at] // 50, side="right"))))
+            i, j = np.arange(at, end)[:, None], np.arange(start, end)[None, :]
+            fit = (j < i) & (100 * n[j] >= percent * n[i]) & (part[j] != part[i])
+            if cross:
+                fit &= own[j] != own[i]
+            row, col = np.nonzero(fit)
+            if len(row):
+                row, col = row + at, col + start
+                apart = np.concatenate([np.bitwise_count(words[row[p : p + 65536] - first] ^ words[col[p : p + 65536] - first]).sum(1, dtype=np.int64) for p in range(0, len(row), 65536)])
+                keep = n[row] + n[col] - 2 * least_overlap(n[row], n[col], percent) >= apart
+                row, col, apart = row[keep], col[keep], apart[keep]
+                order = np.lexsort((col, apart, row))
+                row, col = row[order], col[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+                close = np.full(len(row), True) if most is None else rank < most
+                yield np.full(close.sum(), -1), np.minimum(ids[row], ids[col])[close], np.maximum(ids[row], ids[col])[close]
+                if not close.all():
+                    again = np.isin(row, row[~close])
+                    stay = np.unique(np.concatenate([ids[row[again]], ids[col[again]]]))
+                    yield np.full(len(stay), sig), stay, np.full(len(stay), -1)
+            at = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = [np.empty(0, np.int64)] * 4 + [np.empty((0, FOLDED // 64), np.uint64)]
+        held: list = [np.empty(0, np.int64)] * 7 + [[]]  # signature, low, high, id, component, n, own, sketch
+
+        def out_of(rows: list) -> Iterator[pa.RecordBatch]:
+            fresh = np.any([np.diff(r, prepend=r[:1] - 1) != 0 for r in rows[:3]], axis=0)
+            cuts = np.append(np.flatnonzero(fresh), len(fresh))
+            out, size = [], 0
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                for sig, one, two in of_group(int(rows[0][a]), rows[1][a] != rows[2][a], *(r[a:b] for r in rows[3:])):
+                    out.append((sig, one, two))
+                    size += len(one)
+                if size > 1 << 16:
+                    yield packed(out)
+                    out, size = [], 0
+            if out:
+                yield packed(out)
+
+        def packed(out: list) -> pa.RecordBatch:
+            rows = np.unique(np.stack([np.concatenate(c) for c in list(zip(*out, strict=True))[:3]], 1), axis=0)
+            sig, one, two = (np.ascontiguousarray(rows[:, i]) for i in range(3))
+            stays = sig != -1
+            return batch_of(schema, [pa.array(sig, mask=~stays), pa.array(one), pa.array(two, mask=stays)])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fresh = [batch.column(i).to_numpy() for i in range(4)]  # signature, id, component, n
-            fresh.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, FOLDED // 64))
-            sig, ids, part, n, bits = (np.concatenate([w, f]) for w, f in zip(window, fresh, strict=True))
-            low = np.searchsorted(sig, sig, side="left")
-            out = []
-            for i in range(len(window[0]), len(sig)):
-                start = low[i] + int(np.searchsorted(100 * n[low[i] : i], percent * n[i], side="left"))
-                other = start + np.flatnonzero(part[start:i] != part[i])
-                if len(other):
-                    apart = np.bitwise_count(bits[other] ^ bits[i]).sum(1, dtype=np.int64)
-                    fit = n[other] + n[i] - 2 * least_overlap(n[other], n[i], percent) >= apart
-                    other = other[fit]
-                    if nearest and len(other):
-                        other = other[[int(apart[fit].argmin())]]
-                    out.append(np.stack([np.minimum(ids[other], ids[i]), np.maximum(ids[other], ids[i])], 1))
-            if out:
-                both = np.unique(np.concatenate(out), axis=0)
-                yield batch_of(schema, [pa.array(both[:, 0]), pa.array(both[:, 1])])
-            keep = (sig == sig[-1]) & (100 * n >= percent * n[-1])
-            window = [r[keep] for r in (sig, ids, part, n, bits)]
+            fresh = [batch.column(i).to_numpy() for i in range(7)]
+            rows = [np.concatenate([h, f]) for h, f in zip(held, fresh)] + [held[7] + batch.column(7).to_pylist()]
+            cut = int(np.flatnonzero((rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1]))[0])
+            held = [r[cut:] for r in rows]
+            if cut:
+                yield from out_of([r[:cut] for r in rows])
+        if len(held[0]):
+            yield from out_of(held)
 
-    full = rows.join(sets, "id").select("signature", "id", "component", "n", "sketch")
-    return full.repartition("signature").sortWithinPartitions("signature", "n", "id").mapInArrow(run, "a long, b long")
+    full = full.select("signature", "low", "high", "id", "component", "n", "own", "sketch")
+    return in_arrow(full.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "n", "id"), run, "signature long, a long, b long")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -452,7 +539,8 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without doc_id stay, and rows that share one stay or go together.
     """
-    gone = join(docs, k, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = written(join(docs, k, percent).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     at = column_at(docs, "doc_id")
     plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-    return plain.join(gone, F.col(f"_{at}").cast("long") == F.col("doc_id"), "left_anti").toDF(*docs.columns)
+    few = gone.count() <= BROADCAST  # else both sides move
+    return plain.join(F.broadcast(gone) if few else gone, F.col(f"_{at}").cast("long") == F.col("doc_id"), "left_anti").toDF(*docs.columns)

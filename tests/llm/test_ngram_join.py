@@ -57,6 +57,10 @@ def test_equals_brute_force(spark, monkeypatch, k, percent, small, paired):
     rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
     monkeypatch.setattr(J, "SMALL", small)
     monkeypatch.setattr(J, "PAIRED", paired)
+    monkeypatch.setattr(J, "SKETCH", (64, 256) if small < 16 else J.SKETCH)
+    monkeypatch.setattr(J, "BLOCK", 7)
+    monkeypatch.setattr(J, "NEAREST", small % 3 + 1)
+    monkeypatch.setattr(J, "HUB", 5)
     got = J.join(spark.createDataFrame(rows, SCHEMA), k, percent)
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, k, percent)
 
@@ -69,6 +73,24 @@ def test_one_of_each(spark):
     assert kept == {c for _, _, c in brute(rows, 5, 80)}
 
 
+def test_low_similarity_is_refused(spark):
+    with pytest.raises(ValueError):
+        J.join(empty(spark), 3, 50)
+
+
+def test_a_large_group_of_unlike_sets(spark, monkeypatch):
+    """All share their frequent tokens' combinations, but only some pairs are similar enough."""
+    monkeypatch.setattr(J, "SMALL", 2)
+    monkeypatch.setattr(J, "BLOCK", 16)
+    rng = random.Random(9)
+    base = prose(rng, 100)
+    texts = [f"{base} {prose(rng, 9)}" for _ in range(60)]
+    texts += [f"{t} {prose(rng, 1)}" for t in texts[::7]]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    got = J.join(spark.createDataFrame(rows, SCHEMA), 3, 90)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 3, 90)
+
+
 def test_awkward(spark):
     rows, docs = awkward(spark)
     assert sorted(map(tuple, J.join(docs).collect()), key=repr) == brute(rows, 3, 90)

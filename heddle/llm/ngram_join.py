@@ -36,7 +36,7 @@ BROADCAST = 1 << 18  # rows of a few numbers that may be broadcast, 8 MB of them
 FILTER = 1 << 23  # bits of the filter of document numbers whose texts are wanted
 COUNTED = 8 << 20  # bytes of text in which tokens are counted together
 BLOCK = 4096  # members of a large group that meet each other in one task
-NEAREST = 8  # partners that a member of a large group gets at once
+NEAREST = 1  # partners that a member of a large group gets at once
 HUB = 512  # texts that are verified against one other in a task
 LOCAL, SEEN = 2, 6  # counts there that are added up, and the sum from which a token is of the frequent class
 

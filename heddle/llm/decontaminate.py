@@ -31,8 +31,9 @@ from ._common import batch_of, in_arrow, pieces, project, rows_kept, written
 SHORT = 16  # items under so many characters are looked for as they are, at word bounds
 WIDEST = 64  # of the size classes' windows; longer items are hashed by windows of this length at all offsets
 SAMPLES = 8  # sampled places of a hash
-WALKS = {16: 12, 32: 6, 64: 6}  # by window: an item of few windows hangs on the number of walks
-SURE = {16: 3, 32: 2, 64: 2}  # times the hashes that evenly spread edits would need
+WALKS = {16: 16, 32: 8, 64: 7}  # by window: an item of few windows hangs on the number of walks
+STRIDE = {16: 4, 32: 16, 64: 32}
+SURE = {16: 6, 32: 3, 64: 3}  # times the hashes that evenly spread edits would need
 PAIRS = 1 << 19  # collisions that are looked at together
 SLICE = 1 << 20  # characters that are searched together
 GATHERED = 16 << 20  # characters of documents that go through the benchmark's blocks together
@@ -89,11 +90,11 @@ class SizeClass:
 
     def __init__(self, items: list[tuple[int, str]], window: int, fraction: float, recall: float):
         rng = np.random.default_rng(window)
-        self.window, self.stride, self.steps, self.walks = window, max(1, window * 3 // 8), window, WALKS[window]
+        self.window, self.stride, self.steps, self.walks = window, STRIDE[window], window, WALKS[window]
         offsets = max(0, min(len(t) for _, t in items) - (window - self.stride)) + 1  # at which the shortest is hashed
         reps = max(self.walks, SURE[window] * repeats(recall, fraction, max(1, offsets // self.stride)))
-        self.bits = rng.integers(0, 2, (self.walks, self.steps, 256)).astype(np.int32)
-        self.places = [[np.sort(rng.choice(self.steps, SAMPLES, replace=False)) for _ in range(-(-reps // self.walks))] for _ in range(self.walks)]
+        self.bits = rng.integers(0, 2, (self.walks, self.steps, 256))
+        self.places = [[np.arange(SAMPLES) * self.steps // SAMPLES + rng.integers(0, self.steps // SAMPLES, SAMPLES) for _ in range(-(-reps // self.walks))] for _ in range(self.walks)]  # one of each part: places side by side say the same
         text = "".join(t + "\0" * window for _, t in items)
         starts = np.cumsum([0] + [len(t) + window for _, t in items])[:-1]
         many = np.array([max(0, len(t) - (window - self.stride)) + 1 for _, t in items])
@@ -123,12 +124,12 @@ class SizeClass:
 
     def walked(self, low: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The embeddings of all windows, by walk, step and window. low ends with a window's length of zeros."""
-        out = np.empty((self.walks, self.steps, len(at)), np.uint8)
+        out, stay = np.empty((self.walks, self.steps, len(at)), np.uint8), np.empty(len(at), np.int64)
         for walk in range(self.walks):
-            here = at.astype(np.int32)
+            here = at.astype(np.int64)
             for step in range(self.steps):
-                c = out[walk, step] = low[here]
-                here += self.bits[walk, step][c]
+                c = np.take(low, here, out=out[walk, step], mode="clip")
+                here += np.take(self.bits[walk, step], c, out=stay, mode="clip")
         return out
 
     def hashes(self, embedded: np.ndarray) -> Iterator[np.ndarray]:
@@ -163,7 +164,7 @@ class SizeClass:
         def near() -> np.ndarray:
             both = distinct(np.concatenate(held))
             k = both % len(self.size)
-            keep = [self.apart(low, at[both[i : i + 20_000] // len(self.size)], k[i : i + 20_000]) for i in range(0, len(both), 20_000)]
+            keep = [self.apart(low, at[both[i : i + 8192] // len(self.size)], k[i : i + 8192]) for i in range(0, len(both), 8192)]
             return both[np.concatenate(keep) <= LOCAL * self.size[k]]
 
         for some in self.collisions(self.walked(low, at)):
@@ -179,17 +180,34 @@ class SizeClass:
     def apart(self, low: np.ndarray, at: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Least edit distance of each indexed window to a part of the text around each place; Myers' bit vectors."""
         base, size, reach, one = k * 32, self.size[k], self.window // 8, np.uint64(1)
-        top = one << (size - 1).astype(np.uint64)
+        top = (size - 1).astype(np.uint64)
         plus, minus = np.full(len(k), ~np.uint64(0)), np.zeros(len(k), np.uint64)
-        score, best = size.copy(), size.copy()
-        for step in range(-reach, self.window + 2 * reach):
-            eq = self.masks[base + (low[np.clip(at + step, 0, len(low) - 1)] & 31)]
-            x = (((eq & plus) + plus) ^ plus) | eq
-            up, down = minus | ~(x | plus), plus & x
-            score += ((up & top) != 0).astype(np.int64) - ((down & top) != 0)
-            x, up, down = eq | minus, up << one, down << one
-            plus, minus = down | ~(x | up), up & x
+        eq, x, up, down = (np.empty(len(k), np.uint64) for _ in range(4))
+        c, score, best = np.empty(len(k), np.uint8), size.copy(), size.copy()
+        at = at - reach
+        for _ in range(self.window + 3 * reach):
+            np.take(low, at, out=c, mode="clip")
+            at += 1
+            np.bitwise_and(c, 31, out=c)
+            np.take(self.masks, base + c, out=eq, mode="clip")
+            np.bitwise_and(eq, plus, out=x)
+            x += plus
+            x ^= plus
+            x |= eq
+            np.bitwise_or(x, plus, out=up)
+            np.invert(up, out=up)
+            up |= minus
+            np.bitwise_and(plus, x, out=down)
+            eq |= minus
+            score += ((up >> top) & one).view(np.int64)
+            score -= ((down >> top) & one).view(np.int64)
             np.minimum(best, score, out=best)
+            up <<= one
+            down <<= one
+            np.bitwise_or(eq, up, out=x)
+            np.invert(x, out=x)
+            np.bitwise_or(down, x, out=plus)
+            np.bitwise_and(up, eq, out=minus)
         return best
 
     def regions(self, low: np.ndarray, at: np.ndarray, owner: np.ndarray, place: np.ndarray) -> np.ndarray:

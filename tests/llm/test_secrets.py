@@ -77,3 +77,45 @@ def test_automaton_generalises():
     inside, outside = a.score("AK" + hexes(rng, 14)), a.score("zz" + "q" * 14)
     assert inside > -3.2 > outside
     assert secrets.Formats({}, []).score("anything at all") is None
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+BASE62 = LETTERS + LETTERS.upper() + "0123456789"
+FORMATS = {
+    "prefix sk": lambda r: "sk-" + token(r, 32),
+    "prefix ghp": lambda r: "ghp_" + token(r, 36),
+    "base64": lambda r: token(r, 24, BASE62 + "+/"),
+    "short": lambda r: token(r, r.randint(12, 15)),
+    "dotted": lambda r: f"{token(r, 10)}.{token(r, 20)}.{token(r, 20)}",
+    "hex": lambda r: token(r, 32, "0123456789ABCDEF"),
+}
+
+
+def token(rng, n, alphabet=BASE62):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+@pytest.mark.parametrize("bare", [0, 60])
+def test_recall_of_formats(bare):
+    """Unlabelled tokens of each format are found, also where as many lie among the ordinary tokens; these hardly ever are."""
+    rng = random.Random(bare)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "ing", "ent", "ou", "la", "sch"]) for _ in range(rng.randint(5, 8)))
+    ordinary = [rng.choice([w, w.capitalize(), w.upper()]) for w in (word() for _ in range(1500))] + [".".join(str(rng.randint(10, 255)) for _ in range(4)) for _ in range(100)]
+    labelled = [make(rng) for make in FORMATS.values() for _ in range(60)]
+    found = secrets.Formats({"assign": labelled}, [*ordinary[:1200], *ordinary[1500:1550], *(make(rng) for make in FORMATS.values() for _ in range(bare))])
+    for name, make in FORMATS.items():
+        recall = sum(found.score(make(rng)) is not None for _ in range(200)) / 200
+        assert recall >= 0.9, (name, recall)
+    assert sum(found.score(w) is not None for w in ordinary) <= 0.01 * len(ordinary)
+
+
+def test_whole_tokens_around_hex(spark):
+    """A token that holds a hex span is found as a whole, too, and hidden as a whole."""
+    rng = random.Random(6)
+    make = lambda: f"k_{token(rng, 20, '0123456789abcdef')}_{token(rng, 14)}"
+    rows = [(i, f"{prose(rng, 20)} token: {make()} {prose(rng, 5)}", None, None, 0) for i in range(80)]
+    rows += [(100 + i, f"{prose(rng, 20)} {make()} {prose(rng, 5)}", None, None, 0) for i in range(5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    spans = {r.doc_id: r for r in secrets.digest(secrets.scan_learned(docs)).collect()}
+    assert all(spans[100 + i].n_format == spans[100 + i].n_hex == 1 for i in range(5))
+    assert not any("k_" in r.text for r in secrets.masked(docs).collect() if r.doc_id >= 100)

@@ -28,7 +28,11 @@ _word = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _word.findall(text.lower()) if text else []
+    """Runs of letters; numerals that are no decimal digits count as word characters, but not as letters."""
+    found = _word.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -87,3 +87,8 @@ def test_awkward(spark):
     assert langid.identify(empty(spark)).count() == 0
     unlabelled = spark.createDataFrame([(1, "some text", None, None, 0)], SCHEMA)
     assert [r.lang_pred for r in langid.identify(unlabelled).collect()] == ["und"]
+
+
+def test_numerals_are_no_letters():
+    assert langid.words_of("² ½ 10 Ⅷ x² a1b") == ["x", "a", "b"]
+    assert not langid.words_of("² ½ ③ 10")

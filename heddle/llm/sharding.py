@@ -6,7 +6,8 @@ hash buckets of one old shard's documents of one size class, are dealt to the fl
 shards whose content changes are written again.
 
 The driver holds a row for each block, and of these there are at most old shards x size classes x buckets, whatever
-the data's size.
+the data's size. A block's rows are dealt to as many parts, by hash, as it has files' worth of bytes: a task writes one
+file, and slots are counted in parts.
 """
 
 from __future__ import annotations
@@ -70,9 +71,9 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]])
 
 @dataclass
 class Plan:
-    """Where each block goes: {(old, class, bucket): (new shard, first slot, file)}, and the bytes that move."""
+    """Where each block goes: {(old, class, bucket): (new shard, first slot, first byte, bytes)}, and the bytes that move."""
 
-    blocks: dict[tuple[int, int, int], tuple[int, int, int]]
+    blocks: dict[tuple[int, int, int], tuple[int, int, int, int]]
     sizes: list[int]
     moved: int
     affected: list[int]
@@ -82,10 +83,11 @@ def even(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
-def plan(blocks: list[tuple[int, int, int, int, int]], capacity: list[int], file_bytes: int = 64 << 20) -> Plan:
+def plan(blocks: list[tuple[int, int, int, int, int]], capacity: list[int]) -> Plan:
     """Deals blocks, (old, class, bucket, bytes, rows) each, so that new shards get their capacity of bytes.
 
-    What whole blocks leave uneven is mended by moving single blocks from the fullest to the emptiest shard.
+    What whole blocks leave uneven is mended by moving single blocks from the fullest to the emptiest shard, until no
+    move makes these two nearer.
     """
     old = sorted({b[0] for b in blocks})
     supply = [sum(b[3] for b in blocks if b[0] == i) for i in old]
@@ -103,7 +105,7 @@ def plan(blocks: list[tuple[int, int, int, int, int]], capacity: list[int], file
     own: list[set[tuple[int, int, int]]] = [set() for _ in capacity]
     for b, j in to.items():
         own[j].add(b)
-    for _ in range(500):
+    while True:  # each move lessens the sum of squares
         over = [f - c for f, c in zip(filled, capacity, strict=True)]
         full, bare = max(range(len(over)), key=over.__getitem__), min(range(len(over)), key=over.__getitem__)
         half = (over[full] - over[bare]) / 2
@@ -119,7 +121,7 @@ def plan(blocks: list[tuple[int, int, int, int, int]], capacity: list[int], file
     placed = {}
     for o, c, k, n, rows in sorted(blocks):
         j = to[o, c, k]
-        placed[o, c, k] = (j, slot[j], used[j] // file_bytes)
+        placed[o, c, k] = (j, slot[j], used[j], n)
         slot[j] += rows
         used[j] += n
     moves = [(o, to[o, c, k], n) for o, c, k, n, _ in blocks if to[o, c, k] != o]
@@ -130,7 +132,12 @@ def blocked(docs: DataFrame, old: Column) -> DataFrame:
     """(doc_id, text, old, class, bucket, size): null texts are empty, a size is the UTF-8 bytes and 1."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), old.cast("int").alias("old"))
     size = F.octet_length("text").cast("long") + 1
-    return rows.select("*", F.floor(F.log2(size)).cast("int").alias("class"), F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int").alias("bucket"), size.alias("size"))
+    return rows.select("*", F.floor(F.log2(size)).cast("int").alias("class"), F.pmod(spread(0), F.lit(BUCKETS)).cast("int").alias("bucket"), size.alias("size"))
+
+
+def spread(seed: int) -> Column:
+    """A hash of a row's id and text: texts that share an id are dealt apart, too."""
+    return F.xxhash64("doc_id", F.crc32("text"), F.octet_length("text"), F.lit(seed))
 
 
 def reshard(docs: DataFrame, old: Column, shards: int = 8, file_bytes: int = 64 << 20) -> tuple[DataFrame, Plan, str]:
@@ -139,30 +146,40 @@ def reshard(docs: DataFrame, old: Column, shards: int = 8, file_bytes: int = 64
     Writes the affected shards' files to a new folder, shard=N/ each, and returns every row as (doc_id, size,
     text_crc32, shard, slot), read from the new files where a shard was written and from docs where it stays; the
     plan; and the folder. slot counts a shard's rows from 0 in the order of the files. Repeated rows, and rows without
-    doc_id, are rows like any other. Empty table: no rows, nothing written.
+    doc_id, are rows like any other. Equal texts are told by their checksum and need not share a shard: a group of
+    copies may be larger than a shard of near equal size. Empty table: no rows, nothing written.
     """
     spark = docs.sparkSession
     rows = blocked(project(docs.withColumn("_old", old), doc_id="long", text="string", _old="int"), F.col("_old"))
     made = [tuple(r) for r in rows.groupBy(*BLOCK).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()]
-    done = plan(made, even(sum(b[3] for b in made), shards), file_bytes)
+    done = plan(made, even(sum(b[3] for b in made), shards))
     folder = scratch_path(spark, "shards")
-    where = spark.createDataFrame([(*b, *to) for b, to in sorted(done.blocks.items())], T.StructType([T.StructField(c, T.IntegerType()) for c in BLOCK] + [T.StructField("shard", T.IntegerType()), T.StructField("offset", T.LongType()), T.StructField("file", T.IntegerType())]))
-    placed = rows.join(F.broadcast(where), BLOCK)  # a row for each block: bounded by BUCKETS, not by the data
+    files = [-(-n // file_bytes) for n in done.sizes]
+    first = [sum(files[:j]) for j in range(shards)]
+    where = [(*b, shard, slot, first[shard], start, size, max(1, -(-size // file_bytes))) for b, (shard, slot, start, size) in sorted(done.blocks.items())]
+    kinds = {**dict.fromkeys(BLOCK, T.IntegerType()), "shard": T.IntegerType(), "offset": T.LongType(), "first": T.IntegerType(), "start": T.LongType(), "bytes": T.LongType(), "parts": T.IntegerType()}
+    placed = rows.join(F.broadcast(spark.createDataFrame(where, T.StructType([T.StructField(c, t) for c, t in kinds.items()]))), BLOCK)  # a row for each block: bounded by BUCKETS, not by the data
+    placed = placed.withColumn("part", F.pmod(spread(1), F.col("parts")).cast("int"))
     kept = placed.where(~F.col("shard").isin(done.affected)) if done.affected else placed
-    digest = lambda df: df.select("doc_id", (F.octet_length("text").cast("long") + 1).alias("size"), F.crc32("text").alias("text_crc32"), "shard", "offset", *BLOCK)
+    digest = lambda df: df.select("doc_id", (F.octet_length("text").cast("long") + 1).alias("size"), F.crc32("text").alias("text_crc32"), "shard", "offset", *BLOCK, "part")
     out = digest(kept)
     if done.affected:
-        files = len({(v[0], v[2]) for v in done.blocks.values()})
-        changed = placed.where(F.col("shard").isin(done.affected)).select("doc_id", "text", "shard", "offset", "file", *BLOCK)
-        changed.repartition(max(files, 1), "shard", "file").sortWithinPartitions("shard", "offset", "doc_id").write.partitionBy("shard").parquet(folder)
+        at = F.col("start") + F.floor(F.col("bytes") * F.col("part") / F.col("parts"))
+        changed = placed.where(F.col("shard").isin(done.affected)).withColumn("file", (F.col("first") + F.floor(at / file_bytes)).cast("int"))
+        changed = changed.select("doc_id", "text", "shard", "offset", "file", *BLOCK, "part")
+        dealt = changed.repartitionById(max(1, sum(files)), F.col("file")).sortWithinPartitions("shard", "offset", "part", "doc_id")
+        dealt.write.partitionBy("shard").parquet(folder)
         out = digest(read_shards(spark, folder)).unionByName(out)
-    order = Window.partitionBy(*BLOCK, "shard").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
-    slot = F.col("offset") + F.row_number().over(order) - 1
-    return out.withColumn("slot", slot.cast("long")).select("doc_id", "size", "text_crc32", "shard", "slot"), done, folder
+    own = [*BLOCK, "part", "shard", "offset"]
+    slot = F.row_number().over(Window.partitionBy(*own).orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size"))
+    before = F.sum("n").over(Window.partitionBy(*BLOCK).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = out.groupBy(*own).agg(F.count("*").alias("n")).select(*own, F.coalesce(before, F.lit(0)).alias("before"))  # a row for each file's worth
+    out = out.withColumn("turn", slot).join(counts, own)
+    return out.select("doc_id", "size", "text_crc32", "shard", (F.col("offset") + F.col("before") + F.col("turn") - 1).cast("long").alias("slot")), done, folder
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "doc_id long, text string, offset long, file int, old int, class int, bucket int, shard int"
+    schema = "doc_id long, text string, offset long, file int, old int, class int, bucket int, part int, shard int"
     return spark.read.schema(schema).parquet(folder)
 
 

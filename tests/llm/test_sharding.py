@@ -60,3 +60,25 @@ def test_awkward(spark):
     rows, docs = awkward(spark)
     check([r[1] for r in rows], sharding.near_equal(docs))
     assert sharding.near_equal(empty(spark)).count() == 0
+
+
+def test_large_blocks_are_split(spark):
+    """A block of many files' worth is written in parts, one file a task, and its slots stay gapless; a repeated id is dealt apart."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 40), None, "hot", 0) for i in range(300)] + [(7, prose(rng, 40), None, "hot", 0) for _ in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out, plan, folder = sharding.reshard(docs, F.lit(9), 8, file_bytes=2_000)
+    sizes = check([r[1] for r in rows], out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None)}))
+    assert max(sizes) - min(sizes) < 2_000
+    held = sharding.read_shards(spark, folder).withColumn("name", F.input_file_name()).groupBy("name").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert len(held) > 40 and max(r.n for r in held) < 12_000
+    first = sorted(map(tuple, out.collect()), key=repr)
+    again, _, _ = sharding.reshard(docs.repartition(7), F.lit(9), 8, file_bytes=2_000)
+    assert sorted(map(tuple, again.collect()), key=repr) == first
+
+
+def test_equal_texts_are_rows_of_their_own(spark):
+    """A group of copies larger than a shard is dealt out like other rows, and its checksums tell that texts are equal."""
+    docs = spark.createDataFrame([(i, "the same text", None, "s", 0) for i in range(800)], SCHEMA)
+    got = sharding.near_equal(docs).collect()
+    assert len({r.text_crc32 for r in got}) == 1 and {r.shard for r in got} == set(range(8))

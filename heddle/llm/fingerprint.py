@@ -13,14 +13,15 @@ The rule is fixed, so digests of different corpora can be compared, and a text's
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project
+from ._common import batch_of, in_arrow, pieces, project
 
 WINDOW = 32
 POPULAR = 8
@@ -173,73 +174,62 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             yield batch_of(schema, [batch.column(0), [encoded(d) for d in digests(texts)]])
 
-    return project(docs, **{id_col: "long", text_col: "string"}).mapInArrow(run, f"`{id_col}` long, fingerprint string")
+    return in_arrow(project(docs, **{id_col: "long", text_col: "string"}), run, f"`{id_col}` long, fingerprint string")
 
 
-def with_next(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (bucket, border, id, text) for one range shuffle: sorted within a bucket, and each bucket closed by a copy
-    of the row that begins the next one (the last by the very first), so every row's successor is beside it.
-
-    The bounds that the driver holds are one id for each bucket.
-    """
-    base = project(docs, **{id_col: "long", text_col: "string"})
-    key = F.coalesce(F.col(id_col), F.lit(-(1 << 63)))
-    marks = base.select(F.percentile_approx(key, [i / buckets for i in range(buckets)], 20 * buckets).alias("q")).first()["q"] or []
-    marks = sorted(set(marks))
-    if marks:
-        low = base.agg(F.min(key)).first()[0]
-        marks = sorted({low, *marks})
-    marked = F.array(*[F.lit(m) for m in marks]).cast("array<long>")
-    number = F.size(F.filter(marked, lambda m: m <= key)) - 1
-    place = F.array_position(marked, key).cast("int") - 1
-    last = len(marks) - 1
-    before = F.when(place == 0, F.lit(last)).otherwise(place - 1)
-    rows = F.when(place >= 0, F.array(F.struct(number.alias("bucket"), F.lit(False).alias("border")), F.struct(before.alias("bucket"), F.lit(True).alias("border"))))
-    rows = rows.otherwise(F.array(F.struct(number.alias("bucket"), F.lit(False).alias("border"))))
-    out = base.select(F.explode(rows).alias("at"), id_col, text_col).select("at.bucket", "at.border", id_col, text_col)
-    return out.repartition(max(1, buckets), "bucket").sortWithinPartitions("bucket", "border", F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
-
-
-def compare_neighbours(docs: DataFrame, rows_per_bucket: int = 5000, most_buckets: int = 4096) -> DataFrame:
+def compare_neighbours(docs: DataFrame, rows_per_bucket: int = 5000) -> DataFrame:
     """Fingerprints of each document and of an edit of it, and their likeness; also that of the next document.
 
     The edit puts the first floor(n/4) code points (or all) of the next document, in ascending doc_id, in place of
     as many at the end; the next of the last is the first. Ties in doc_id go by text; rows without doc_id come first.
-    One shuffle of the texts, in key order; a task holds a few megabytes of them at a time. Empty table: no rows.
+    One shuffle of the texts, by ranges of id and of the text's beginning; a task holds a few megabytes of them at a
+    time. What a range's last document is compared with is the first of the next range. Empty table: no rows.
     """
     ids = project(docs, doc_id="long")
-    buckets = max(1, min(most_buckets, -(-ids.count() // rows_per_bucket)))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    base = project(docs, doc_id="long", text="string")
+    ranged = base.repartitionByRange(max(1, -(-ids.count() // rows_per_bucket)), order[0], F.substring("text", 1, 64).asc_nulls_first())
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
+    def compared(pairs: list[tuple]) -> pa.RecordBatch:
+        """pairs: a document and the next one, as (doc_id, text, digest)."""
+        edits = []
+        for a, b in pairs:
+            k = len(a[1]) // 4
+            edits.append((a[1][: len(a[1]) - k] + b[1][:k]).encode())
+        edited = digests(edits)
+        return batch_of(
+            schema,
+            [
+                [a[0] for a, _ in pairs],
+                [len(a[1]) for a, _ in pairs],
+                [hashlib.sha256(e).hexdigest() for e in edits],
+                [encoded(a[2]) for a, _ in pairs],
+                [encoded(m) for m in edited],
+                [likeness(a[2], m) for (a, _), m in zip(pairs, edited, strict=True)],
+                [likeness(a[2], b[2]) for a, b in pairs],
+            ],
+        )
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = []  # the document that waits for the next one
+        for batch in pieces(batches, "text"):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            chain = last + list(zip(batch.column(0).to_pylist(), texts, digests([t.encode() for t in texts]), strict=True))
+            last = chain[-1:]
+            if len(chain) > 1:
+                yield compared(list(zip(chain, chain[1:])))
 
-        last = None  # (bucket, border, doc_id, text, digest) that waits for its successor
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            rows = [(b, e, d, t or "") for b, e, d, t in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)]
-            made = digests([r[3].encode() for r in rows])
-            chain = ([last] if last else []) + [(*r, m) for r, m in zip(rows, made, strict=True)]
-            pairs = [(a, b) for a, b in zip(chain, chain[1:]) if a[0] == b[0] and not a[1]]
-            last = chain[-1]
-            if not pairs:
-                continue
-            edits = []
-            for a, b in pairs:
-                k = len(a[3]) // 4
-                edits.append((a[3][: len(a[3]) - k] + b[3][:k]).encode())
-            edited = digests(edits)
-            yield batch_of(
-                schema,
-                [
-                    [a[2] for a, _ in pairs],
-                    [len(a[3]) for a, _ in pairs],
-                    [hashlib.sha256(e).hexdigest() for e in edits],
-                    [encoded(a[4]) for a, _ in pairs],
-                    [encoded(m) for m in edited],
-                    [likeness(a[4], m) for (a, _), m in zip(pairs, edited, strict=True)],
-                    [likeness(a[4], b[4]) for a, b in pairs],
-                ],
-            )
+            columns = [batch.column(i).to_pylist() for i in range(4)]
+            one, two = (list(zip(columns[i], texts, digests([t.encode() for t in texts]), strict=True)) for i in (0, 2) for texts in [[t or "" for t in columns[i + 1]]])
+            yield compared(list(zip(one, two, strict=True)))
 
     wanted = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(docs, buckets).mapInArrow(run, wanted)
+    row = F.struct("doc_id", "text")  # in order, nulls first
+    ends = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(row).alias("head"), F.max(row).alias("tail"))
+    parts = ends.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.first("part").over(Window.orderBy("part"))).alias("next"))  # a number for each range
+    heads = ends.select(F.col("part").alias("next"), "head")
+    borders = ends.select("part", "tail").join(parts, "part").join(heads, "next").select("tail.doc_id", "tail.text", F.col("head.doc_id").alias("next_id"), F.col("head.text").alias("next_text"))
+    return in_arrow(ranged.sortWithinPartitions(*order), within, wanted).unionByName(in_arrow(borders, between, wanted))

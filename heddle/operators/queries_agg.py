@@ -52,6 +52,7 @@ sql("agg_minmax_num", "SELECT l_returnflag, min(l_linenumber) AS a, max(l_linenu
 sql("agg_minmax_date_ts", "SELECT o_orderstatus, CAST(min(o_orderdate) AS STRING) AS a, CAST(max(o_orderdate) AS STRING) AS b, CAST(max(CAST(o_orderdate AS DATE)) AS STRING) AS c FROM orders GROUP BY o_orderstatus")
 sql("agg_minmax_decimal", f"SELECT l_returnflag, min({MONEY}) AS a, max({MONEY}) AS b FROM lineitem GROUP BY l_returnflag")
 sql("agg_minmax_text", "SELECT p_brand, min(p_name) AS a, max(p_name) AS b, max(p_type) AS c FROM part GROUP BY p_brand")
+sql("agg_minmax_time", "SELECT event_type, min(date_format(ts, 'HH:mm:ss')) AS a, max(date_format(ts, 'HH:mm:ss')) AS b FROM events GROUP BY event_type", "SELECT event_type, strftime(min(CAST(strftime(ts, '%H:%M:%S') AS TIME)) + DATE '2000-01-01', '%H:%M:%S') AS a, strftime(max(CAST(strftime(ts, '%H:%M:%S') AS TIME)) + DATE '2000-01-01', '%H:%M:%S') AS b FROM events GROUP BY event_type")
 sql("agg_minmax_time_interval_array", "SELECT n_regionkey, array_join(max(array(n_nationkey, n_regionkey)), ',') AS a, CAST(extract(DAY FROM max(make_dt_interval(n_nationkey))) AS BIGINT) AS i FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, array_to_string(max([n_nationkey, n_regionkey]), ',') AS a, CAST(extract(DAY FROM max(to_days(n_nationkey))) AS BIGINT) AS i FROM nation GROUP BY n_regionkey")
 sql("agg_stddev_var", "SELECT l_returnflag, round(stddev_samp(l_quantity), 6) AS s, round(var_pop(l_quantity), 6) AS v, round(corr(l_quantity, l_extendedprice), 6) AS c FROM lineitem GROUP BY l_returnflag")
 sql("agg_bool", "SELECT l_returnflag, bool_and(l_quantity > 0) AS a, bool_or(l_quantity > 49) AS o, bit_and(l_linenumber) AS b, bit_or(l_linenumber) AS c FROM lineitem GROUP BY l_returnflag")
@@ -75,6 +76,7 @@ def agg_array_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 sql("agg_listagg", "SELECT n_regionkey, listagg(n_name, ';') WITHIN GROUP (ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, string_agg(n_name, ';' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey")
 sql("agg_percentile", "SELECT l_returnflag, round(percentile_cont(0.25) WITHIN GROUP (ORDER BY l_quantity), 6) AS c, percentile_disc(0.5) WITHIN GROUP (ORDER BY l_linenumber) AS d FROM lineitem GROUP BY l_returnflag", "SELECT l_returnflag, round(quantile_cont(l_quantity, 0.25), 6) AS c, CAST(quantile_disc(l_linenumber, 0.5) AS DOUBLE) AS d FROM lineitem GROUP BY l_returnflag")
+sql("agg_mode_value", "SELECT l_returnflag, l_linestatus, mode(l_linenumber, true) AS m FROM lineitem GROUP BY l_returnflag, l_linestatus", "SELECT l_returnflag, l_linestatus, l_linenumber AS m FROM (SELECT l_returnflag, l_linestatus, l_linenumber, row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY count(*) DESC, l_linenumber) AS r FROM lineitem GROUP BY l_returnflag, l_linestatus, l_linenumber) WHERE r = 1")
 sql("agg_mode", "SELECT o_orderstatus, CAST(max(n) AS BIGINT) AS n FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderstatus, o_orderpriority) GROUP BY o_orderstatus")
 
 
@@ -113,11 +115,12 @@ def grp_volatile_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy((F.rand(1) * 3).cast("int")).count().agg(F.sum("count").alias("n"))
 
 
-@frame("SELECT o_orderkey, nullif(o_custkey % 5, 2) AS k, row_number() OVER (ORDER BY nullif(o_custkey % 5, 2) DESC NULLS FIRST, o_orderkey) AS r FROM orders ORDER BY r LIMIT 500")
+@frame("SELECT o_orderkey, nullif(o_orderkey % 5, 2) AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY nullif(o_orderkey % 5, 2) DESC NULLS FIRST, o_orderkey) AS r FROM orders")
 def sort_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("nullif(o_custkey % 5, 2)").alias("k"))
-    top = rows.orderBy(X.pg_desc("k"), X.pg_asc("o_orderkey")).limit(500)
-    return top.withColumn("r", F.row_number().over(Window.orderBy(X.pg_desc("k"), X.pg_asc("o_orderkey"))).cast("bigint"))  # 500 rows
+    """The order of each customer's orders, nulls first."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.expr("nullif(o_orderkey % 5, 2)").alias("k"))
+    order = Window.partitionBy("o_custkey").orderBy(X.pg_desc("k"), X.pg_asc("o_orderkey"))
+    return rows.select("o_orderkey", "k", F.row_number().over(order).cast("bigint").alias("r"))
 
 
 sql("topk", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey LIMIT 25")

@@ -18,10 +18,12 @@ sql("join_right", "SELECT n_name, s_suppkey FROM (SELECT * FROM supplier WHERE s
 sql("join_full", "SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM (SELECT * FROM nation WHERE n_nationkey < 15) a FULL JOIN (SELECT * FROM nation WHERE n_nationkey > 8) b ON a.n_nationkey = b.n_nationkey")
 sql("join_full_where", "SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM (SELECT * FROM nation WHERE n_nationkey < 15) a FULL JOIN (SELECT * FROM nation WHERE n_nationkey > 8) b ON a.n_nationkey = b.n_nationkey WHERE a.n_nationkey IS NULL OR b.n_regionkey > 1")
 sql("join_full_true", "SELECT r_regionkey, n_nationkey FROM region FULL JOIN (SELECT * FROM nation WHERE n_nationkey < 4) n ON (true)", "SELECT r_regionkey, n_nationkey FROM region CROSS JOIN (SELECT * FROM nation WHERE n_nationkey < 4) n")
+sql("join_full_true_empty", "SELECT r_regionkey, n_nationkey FROM region FULL JOIN (SELECT * FROM nation WHERE n_nationkey < 0) n ON (true)", "SELECT r_regionkey, CAST(NULL AS INTEGER) AS n_nationkey FROM region")
 sql("join_outer_chain", "SELECT a.n_nationkey AS a, b.n_nationkey AS b, c.s_suppkey AS c FROM (SELECT * FROM nation WHERE n_nationkey < 12) a FULL JOIN (SELECT * FROM nation WHERE n_nationkey > 6) b ON a.n_nationkey = b.n_nationkey LEFT JOIN supplier c ON b.n_nationkey = c.s_nationkey")
 sql("join_outer_chain_right", "SELECT a.n_nationkey AS a, r_name AS r FROM (SELECT * FROM nation WHERE n_nationkey < 3) a LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 9) b ON a.n_regionkey = b.n_nationkey RIGHT JOIN region ON r_regionkey = b.n_regionkey")
 sql("join_semi", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
 sql("join_anti", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+sql("join_anti_some", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
 sql("join_cross", "SELECT r_regionkey, n_nationkey FROM region CROSS JOIN nation WHERE n_nationkey < 5")
 sql("join_theta", "SELECT a.n_nationkey AS a, b.r_regionkey AS b FROM nation a JOIN region b ON a.n_regionkey <= b.r_regionkey AND a.n_nationkey + 1 > b.r_regionkey * 2")
 sql("join_text_key", "SELECT a.p_partkey AS a, b.n_nationkey AS b FROM part a JOIN nation b ON a.p_brand = 'Brand#' || CAST(b.n_nationkey AS STRING)")
@@ -36,8 +38,8 @@ def join_hint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.join(right.hint("merge"), left.l_orderkey == right.o_orderkey).select("l_orderkey", "l_linenumber", "o_orderstatus")
 
 
-sql("join_partitionwise", "SELECT a.l_orderkey AS k, a.n AS a, b.n AS b FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) a FULL JOIN (SELECT o_orderkey, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY o_orderkey) b ON a.l_orderkey = b.o_orderkey")
-sql("join_parameterised_inner", "SELECT l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey = 10")
+sql("join_partitionwise", "SELECT a.l_orderkey AS k, a.n AS a, b.n AS b FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) a FULL JOIN (SELECT o_orderkey, count(*) AS n FROM orders WHERE o_totalprice > 150000 GROUP BY o_orderkey) b ON a.l_orderkey = b.o_orderkey")
+sql("join_parameterised_inner", "SELECT l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT'")
 
 sql("sub_in", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 sql("sub_scalar", "SELECT o_orderkey FROM orders WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders)")
@@ -50,6 +52,7 @@ sql("union_all", "SELECT c_nationkey AS k FROM customer WHERE c_acctbal < 0 UNIO
 sql("intersect", "SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 9000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
 sql("intersect_all", "SELECT l_linenumber AS k FROM lineitem WHERE l_quantity > 48 INTERSECT ALL SELECT l_linenumber FROM lineitem WHERE l_quantity < 2")
 sql("except", "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 0")
+sql("except_some", "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000")
 sql("except_all", "SELECT l_linenumber AS k FROM lineitem WHERE l_quantity > 48 EXCEPT ALL SELECT l_linenumber FROM lineitem WHERE l_quantity < 2")
 
 
@@ -84,6 +87,15 @@ def analyze_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyze(table(spark, sf_dir, "orders"), 1000, seed=1).sample
 
 
+@frame("SELECT 1000 AS n, 1000 AS inside, 1000 AS keys")
+def analyze_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample has as many rows as asked for, each of them a row of the table, and none twice."""
+    orders = table(spark, sf_dir, "orders")
+    drawn = analyze(orders, 1000, seed=3).sample.select("o_orderkey", "o_custkey")
+    both = drawn.join(orders.select("o_orderkey", F.col("o_custkey").alias("c")), "o_orderkey")
+    return both.agg(F.count("*").cast("int").alias("n"), F.count_if(F.col("o_custkey") == F.col("c")).cast("int").alias("inside"), F.countDistinct("o_orderkey").cast("int").alias("keys"))
+
+
 @frame("SELECT n_nationkey, n_nationkey * 2 + 1 AS d FROM nation")
 def udf_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL function is inlined by Catalyst and stays in generated code."""

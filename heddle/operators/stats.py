@@ -18,19 +18,11 @@ class Statistics:
 
 
 def analyze(df: DataFrame, sample: int, seed: int = 0) -> Statistics:
-    """Counts the rows and draws about `sample` of them, never more; the same seed draws the same rows of the same files."""
+    """Counts the rows and draws about `sample` of them, never more; the same seed draws the same rows of the same files.
+
+    Of what is drawn beyond `sample` the rows of the greatest random numbers go, wherever they lie.
+    """
     rows = df.count()
     fraction = min(1.0, 1.2 * sample / rows + 10 / rows) if rows else 1.0
     drawn = df if fraction >= 1 else df.sample(fraction=fraction, seed=seed)
-    return Statistics(rows, max(1, -(-rows // ROWS_PER_PAGE)), drawn.limit(sample))
-
-
-def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row for each column: nulls, approximate distinct values, least and greatest value as text; one pass."""
-    aggregated = []
-    for c in columns:
-        x = F.col(f"`{c}`")
-        aggregated += [F.count_if(x.isNull()).alias(f"{c}|nulls"), F.approx_count_distinct(x).alias(f"{c}|distinct"), F.min(x).cast("string").alias(f"{c}|low"), F.max(x).cast("string").alias(f"{c}|high")]
-    row = df.agg(*aggregated)
-    parts = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}|nulls`").alias("nulls"), F.col(f"`{c}|distinct`").alias("distinct"), F.col(f"`{c}|low`").alias("low"), F.col(f"`{c}|high`").alias("high")) for c in columns])
-    return row.select(F.explode(parts).alias("s")).select("s.*")
+    return Statistics(rows, max(1, -(-rows // ROWS_PER_PAGE)), drawn.orderBy(F.rand(seed + 1)).limit(sample))

@@ -150,8 +150,8 @@ def column_at(df: DataFrame, name: str) -> int:
     return df.columns.index(name)
 
 
-def rows_kept(docs: DataFrame, chooser: Callable[[], Callable[[list[str | None]], list[bool]]], text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose whole text the chooser keeps. It is made once a task.
+def rows_kept(docs: DataFrame, chooser: Callable[[], Callable[[list[str | None]], list[bool]]], text_col: str = "text", most: int = 4 << 20) -> DataFrame:
+    """The rows of docs, with all their columns, whose whole text the chooser keeps. It is made once a task, and gets about `most` bytes of text at once.
 
     No join and no shuffle: a decision that hangs on the text alone is taken where the row is.
     """
@@ -159,7 +159,7 @@ def rows_kept(docs: DataFrame, chooser: Callable[[], Callable[[list[str | None]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = chooser()
-        for batch in pieces(batches, at):
+        for batch in pieces(batches, at, most):
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
     return _clashing(docs, lambda df: in_arrow(df, run, df.schema))
@@ -172,7 +172,7 @@ def rows_changed(docs: DataFrame, changer: Callable[[], Callable[[list[str | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = changer()
-        for batch in pieces(batches, at):
+        for batch in pieces(batches, at, 1 << 20):
             texts = change(batch.column(at).to_pylist())
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.schema.field(at).type)

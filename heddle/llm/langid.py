@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project, rows_kept
+from ._common import batch_of, in_arrow, pieces, project, rows_kept
 
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 AFFIX = 5
 UNDETERMINED = "und"
+SLICE = 1 << 20  # bytes of text that are labelled at once
 _word = re.compile(r"[^\W\d_]+")
 
 
@@ -247,7 +248,7 @@ def learn(docs: DataFrame, per_label: int = 400, passage: int = 64) -> Field:
 class Labeller:
     """Predicts batches of whole texts; keeps the emissions of the words it has met, up to a bound."""
 
-    KEEP = 150_000
+    KEEP = 100_000
 
     def __init__(self, field: Field):
         self.field = field
@@ -292,12 +293,12 @@ def predict(docs: DataFrame, field: Field, words: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(field)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", SLICE):
             labels, scores, of_words = labeller(batch.column(1).to_pylist(), words)
             yield batch_of(schema, [batch.column(0), labels, scores] + ([of_words] if words else []))
 
     wanted = "doc_id long, lang_pred string, score double" + (", words array<string>" if words else "")
-    return project(docs, doc_id="long", text="string").mapInArrow(run, wanted)
+    return in_arrow(project(docs, doc_id="long", text="string"), run, wanted)
 
 
 def identify(docs: DataFrame, **bounds: int) -> DataFrame:
@@ -313,4 +314,4 @@ def determined(docs: DataFrame, least: float = 0.35, **bounds: int) -> DataFrame
         labeller = Labeller(field)
         return lambda texts: [k != UNDETERMINED and s >= least for k, s, in zip(*labeller(texts)[:2], strict=True)]
 
-    return rows_kept(docs, chooser)
+    return rows_kept(docs, chooser, most=SLICE)

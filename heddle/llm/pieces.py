@@ -21,7 +21,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import batch_of, project
+from ._common import batch_of, in_arrow, project
 from ._common import pieces as slices
 
 MARK = "▁"
@@ -197,7 +197,7 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in slices(batches, "text"):
             yield batch_of(schema, [batch.column(0), [None if t is None else m.encode(t) for t in batch.column(1).to_pylist()]])
 
-    return project(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, ids array<int>")
+    return in_arrow(project(docs, doc_id="long", text="string"), run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -210,7 +210,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             yield batch_of(schema, [batch.column(0), [None if i is None else m.decode(i) for i in batch.column(1).to_pylist()]])
 
-    return project(encoded, doc_id="long", ids="array<int>").mapInArrow(run, "doc_id long, text string")
+    return in_arrow(project(encoded, doc_id="long", ids="array<int>"), run, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, model: bytes, keep: bool = False) -> DataFrame:
@@ -235,4 +235,4 @@ def round_trip(docs: DataFrame, model: bytes, keep: bool = False) -> DataFrame:
             yield batch_of(schema, [list(c) for c in list(zip(*rows, strict=True))[: len(schema)]])
 
     wanted = "doc_id long, n_chars long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean" + (", ids array<int>" if keep else "")
-    return project(docs, doc_id="long", text="string").mapInArrow(run, wanted)
+    return in_arrow(project(docs, doc_id="long", text="string"), run, wanted)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batch_of, pieces, project, release, written
+from ._common import batch_of, in_arrow, pieces, project, release, written
 from .shingles import mix, spans_hash
 
 GRAM = 24
@@ -216,7 +216,7 @@ def postings(docs: DataFrame, width: int) -> DataFrame:
             spread = mix(key.view(np.uint64) ^ mix(start.astype(np.uint64))).view(np.int64)
             yield batch_of(schema, [pa.array(np.where(gone, spread, anchor)), pa.array(segment), pa.array(key), pa.array(packed(start, count, at, gone.astype(np.int64)))])
 
-    return docs.mapInArrow(run, "anchor long, segment long, key long, place long")
+    return in_arrow(docs, run, "anchor long, segment long, key long, place long")
 
 
 def settled(rows: DataFrame) -> DataFrame:
@@ -261,7 +261,7 @@ def settled(rows: DataFrame) -> DataFrame:
             yield batch_of(schema, [pa.array(c) for c in (flags, a, k, start, count, at)])
 
     ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "segment", "key", "place")
-    return ordered.mapInArrow(run, "gone boolean, anchor long, key long, start long, count long, at long")
+    return in_arrow(ordered, run, "gone boolean, anchor long, key long, start long, count long, at long")
 
 
 def collections(docs: DataFrame, compare: DataFrame, width: int) -> DataFrame:
@@ -290,7 +290,7 @@ def collections(docs: DataFrame, compare: DataFrame, width: int) -> DataFrame:
     marked = compare.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     # A document has at most as many parts as segments.
     wanted = marked.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count", "at", "hot")).alias("parts"))
-    return docs.join(wanted, "key").select("key", "text", "parts").mapInArrow(run, "anchor long, key long, start long, at long, bytes binary")
+    return in_arrow(docs.join(wanted, "key").select("key", "text", "parts"), run, "anchor long, key long, start long, at long, bytes binary")
 
 
 def alike(group: list[tuple[int, int, bytes, int]], width: int) -> list[tuple[int, int, bytes]]:
@@ -355,7 +355,7 @@ def repeated(rows: DataFrame, width: int) -> DataFrame:
         if held:
             yield later(held)
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "key long, start long")
+    return in_arrow(rows.repartition("anchor").sortWithinPartitions("anchor"), run, "key long, start long")
 
 
 def cut(docs: DataFrame, gone: DataFrame, width: int) -> DataFrame:
@@ -407,7 +407,7 @@ def cut(docs: DataFrame, gone: DataFrame, width: int) -> DataFrame:
     rows = docs.select("key", F.lit(False).alias("is_gone"), none.alias("start"), none.alias("end"), "doc_id", "text")
     runs = gone.select("key", F.lit(True), "start", (F.col("start") + F.col("count") - 1 + width), none, F.lit(None).cast("string"))
     both = rows.union(runs).repartition("key").sortWithinPartitions("key", "is_gone", "start")
-    return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return in_arrow(both, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:

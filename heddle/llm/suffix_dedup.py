@@ -13,6 +13,7 @@ of which only the earliest occurrence stays.
 from __future__ import annotations
 
 import hashlib
+import io
 import os
 import tempfile
 from collections.abc import Iterator
@@ -34,21 +35,41 @@ NO_ID = -(1 << 63)
 
 
 class Columns:
-    """Transform and common prefixes of a growing collection, in two sequential files that each round writes anew."""
+    """Transform and common prefixes of a growing collection, in sequential files of two turns that rounds write anew.
+
+    Files stay open and are written over, for they only grow: what is cut off first would be flushed at each round.
+    """
 
     def __init__(self, folder: str):
-        self.folder, self.turn = folder, 0
+        self.turn, self.size = 0, 0
+        self.files = {(kind, turn): open(os.path.join(folder, f"{kind}{turn}"), "w+b", buffering=0) for kind in ("symbols", "common") for turn in (0, 1)}
 
-    def _path(self, kind: str, turn: int) -> str:
-        return os.path.join(self.folder, f"{kind}{turn & 1}")
+    def __enter__(self) -> Columns:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for f in self.files.values():
+            f.close()
 
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.fromfile(self._path("symbols", self.turn), np.uint8), np.fromfile(self._path("common", self.turn), np.uint8)
+        return tuple(self._read(self.files[kind, self.turn]) for kind in ("symbols", "common"))
+
+    def _read(self, f: io.FileIO) -> np.ndarray:
+        f.seek(0)
+        out = np.empty(self.size, np.uint8)
+        got = 0
+        while got < self.size:
+            got += f.readinto(memoryview(out)[got:])
+        return out
 
     def write(self, symbols: np.ndarray, common: np.ndarray) -> None:
-        self.turn += 1
-        symbols.tofile(self._path("symbols", self.turn))
-        common.tofile(self._path("common", self.turn))
+        self.turn, self.size = 1 - self.turn, len(symbols)
+        for kind, values in (("symbols", symbols), ("common", common)):
+            f = self.files[kind, self.turn]
+            f.seek(0)
+            left = memoryview(values)
+            while len(left):
+                left = left[f.write(left) :]
 
 
 NONE = 0xFF  # no symbol before: a byte that UTF-8 never has, greater than all it has
@@ -74,8 +95,7 @@ def sorted_suffixes(texts: list[bytes], most: int) -> tuple[np.ndarray, np.ndarr
     sizes = np.array([len(t) for t in texts], np.int64)
     joined = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum(sizes)
-    with tempfile.TemporaryDirectory() as folder:
-        files = Columns(folder)
+    with tempfile.TemporaryDirectory() as folder, Columns(folder) as files:
         # Round 0: the empty suffixes; the transform holds the last symbol of each text.
         last = np.full(m, NONE, np.uint8)
         last[sizes > 0] = joined[ends[sizes > 0] - 1]

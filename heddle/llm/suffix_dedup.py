@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,8 +112,8 @@ def sorted_suffixes(texts: list[bytes], most: int) -> tuple[np.ndarray, np.ndarr
             fresh = np.zeros(len(symbols), bool)
             fresh[place] = True
             rank = np.flatnonzero(fresh[order])
-            place = order[rank]
-            alive = alive[np.searchsorted(np.flatnonzero(fresh), place)]
+            moved = order[rank]
+            place, alive = moved, alive[np.searchsorted(place, moved)]
             target = m + rank
             # Common prefixes of neighbours in the new order, from the ranges between where they come from.
             own = symbols[place]
@@ -339,8 +340,8 @@ def alike(group: list[tuple[int, int, bytes, int]], width: int) -> list[tuple[in
 
 
 def repeated(rows: DataFrame, width: int) -> DataFrame:
-    """(key, start) of the windows in collections() that equal an earlier one, by the suffix order of each collection."""
-    schema = pa.schema([("key", pa.int64()), ("start", pa.int64())])
+    """(key, start, count) of the runs of windows in collections() that equal an earlier one, by the suffix order of each collection."""
+    schema = pa.schema([("key", pa.int64()), ("start", pa.int64()), ("count", pa.int64())])
 
     def later(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         owner, at, common = sorted_suffixes([h[2] for h in held], width)
@@ -354,7 +355,14 @@ def repeated(rows: DataFrame, width: int) -> DataFrame:
         head[1:] = run[1:] != run[:-1]
         first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(run) else np.empty(0, np.int64)
         gone = (key != key[first]) | (start != start[first])
-        return batch_of(schema, [pa.array(key[gone]), pa.array(start[gone])])
+        key, start = key[gone], start[gone]
+        order = np.lexsort((start, key))
+        key, start = key[order], start[order]
+        head = np.ones(len(key), bool)
+        head[1:] = (key[1:] != key[:-1]) | (np.diff(start) > 1)
+        at = np.flatnonzero(head)
+        count = start[np.append(at[1:], len(start)) - 1] - start[at] + 1 if len(at) else at
+        return batch_of(schema, [pa.array(key[at]), pa.array(start[at]), pa.array(count)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, bytes]] = []
@@ -375,7 +383,24 @@ def repeated(rows: DataFrame, width: int) -> DataFrame:
         if held:
             yield later(held)
 
-    return in_arrow(rows.repartition("anchor").sortWithinPartitions("anchor"), run, "key long, start long")
+    return in_arrow(rows.repartition("anchor").sortWithinPartitions("anchor"), run, "key long, start long, count long")
+
+
+def joined_runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of cut() with runs of one document that overlap or touch made one. Sorted by key, texts first, then start."""
+    n = batch.num_rows
+    key, is_gone = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+    start, end = (pa.compute.fill_null(batch.column(i), -1).to_numpy() for i in (2, 3))
+    base = np.zeros(n, np.int64)
+    base[1:] = np.cumsum(key[1:] != key[:-1]) * (int(end.max(initial=0)) + 2)
+    reach = np.maximum.accumulate(base + end)
+    fresh = ~is_gone
+    fresh[:1] = True
+    fresh[1:] |= (base + start)[1:] > reach[:-1]
+    at = np.flatnonzero(fresh)
+    last = np.append(at[1:], n) - 1
+    kept = batch.take(pa.array(at))
+    return pa.RecordBatch.from_arrays([*kept.columns[:3], pa.array(reach[last] - base[last]), *kept.columns[4:]], schema=batch.schema)
 
 
 def cut(docs: DataFrame, gone: DataFrame, width: int) -> DataFrame:
@@ -407,7 +432,10 @@ def cut(docs: DataFrame, gone: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, texts, starts, ends, out, size = None, [], [], [], [], 0
         for batch in batches:
-            for key, is_gone, start, end, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            if not batch.num_rows:
+                continue
+            joined = joined_runs(batch)
+            for key, is_gone, start, end, doc_id, text in zip(*(joined.column(i).to_pylist() for i in range(6)), strict=True):
                 if key != current:
                     out += finish(current, texts, starts, ends)
                     current, texts, starts, ends = key, [], [], []
@@ -444,8 +472,7 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     plain = base.select("key", "text")
     found = written(settled(postings(plain, width)), "segments")
     release(docs.sparkSession)
-    few = repeated(collections(plain, found.where("not gone"), width), width).distinct().withColumn("count", F.lit(1).cast("long"))
-    few = written(few, "windows")
+    few = written(repeated(collections(plain, found.where("not gone"), width), width), "windows")
     release(docs.sparkSession)
     return cut(base, found.where("gone").select("key", "start", "count").unionByName(few), width)
 

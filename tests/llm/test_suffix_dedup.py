@@ -106,3 +106,24 @@ def test_segments_do_not_depend_on_what_is_joined():
     together, alone = S.segments(parts, 100), S.segments(parts[4:], 100)
     last = together[0] == 4
     assert all((a[last] == b).all() for a, b in zip(together[1:], alone[1:], strict=True)) and (together[3] >= 0).all()
+
+
+def test_joined_runs_cover_the_same_bytes():
+    """Whatever batch a document's runs are split into, the joined ones cover the same bytes of it, and texts stay."""
+    rng = random.Random(5)
+    rows = []
+    for key in range(6):
+        rows += [(key, False, None, None, key, "x" * 40)] * (key % 3)
+        rows += [(key, True, s, s + rng.randint(1, 6), None, None) for s in sorted(rng.randrange(40) for _ in range(rng.randint(0, 12)))]
+    rows.append((6, True, 0, 3, None, None))
+    schema = S.pa.schema([("key", S.pa.int64()), ("is_gone", S.pa.bool_()), ("start", S.pa.int64()), ("end", S.pa.int64()), ("doc_id", S.pa.int64()), ("text", S.pa.string())])
+    covered = lambda rs: {(r[0], b) for r in rs if r[1] for b in range(r[2], r[3])}
+    for size in (1, 2, 5, len(rows)):
+        got = []
+        for at in range(0, len(rows), size):
+            batch = S.joined_runs(S.batch_of(schema, [list(c) for c in zip(*rows[at : at + size], strict=True)]))
+            got += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        assert covered(got) == covered(rows)
+        assert [r[4:] for r in got if not r[1]] == [r[4:] for r in rows if not r[1]]
+    runs = [r for r in got if r[1]]
+    assert all(a[0] != b[0] or a[3] < b[2] for a, b in zip(runs, runs[1:], strict=False))

@@ -7,8 +7,8 @@ than SMALL prefixes, goes with the frequent class into combinations of two. Long
 too many, keep single frequent tokens; sets near the bound have both, so no partner is missed.
 
 Equal sets are one class from the start. A group of a signature gives all pairs of fitting sizes while it is small;
-a larger one first links its members to pivots. Of large groups with the same members one stands for all. In those that
-hold several components, which are dealt out in pairs of blocks, each member meets its nearest ones of other components,
+a larger one first links its members to pivots. Of large groups with the same members one stands for all, and those with
+the same first member are merged. In those that hold several components, which are dealt out in pairs of blocks, each member meets its nearest ones of other components,
 and again while it has more that fit. Candidates are cut by a parity sketch, as long as the set is large, whose bits
 bound the symmetric difference from below, and verified on their whole texts: of a pair one text moves to the other's.
 """
@@ -197,7 +197,7 @@ def all_pairs(ids: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray,
 
 def candidates(rows: DataFrame, percent: int, pivots: bool) -> DataFrame:
     """Rows (hot, x, y, n): hot false, a pair of documents of a group; hot true, signature and document of a large group
-    (or of a token named as frequent) and the document's n.
+    (or of a token named as frequent) and the document's n, or with `pivots` the group's first document.
 
     Reads the groups in sorted order; holds a group of SMALL rows, or with `pivots` of a larger one the pivot to which
     its next rows are linked. A row that is too large for the pivot becomes the next.
@@ -206,13 +206,13 @@ def candidates(rows: DataFrame, percent: int, pivots: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 3
-        open_group, pivot = None, (0, 0)  # a large group that goes on, and its pivot's id and size
+        open_group, first, pivot = None, 0, (0, 0)  # a large group that goes on, its first id, and its pivot's id and size
 
         def star(sig: int, ids: np.ndarray, n: np.ndarray, out: list) -> None:
-            nonlocal open_group, pivot
+            nonlocal open_group, first, pivot
             at = 0
             if open_group != sig:
-                open_group, pivot = sig, (ids[0], n[0])
+                open_group, first, pivot = sig, ids[0], (ids[0], n[0])
             while at < len(ids):
                 end = at + int(np.searchsorted(percent * n[at:], 100 * pivot[1], side="right"))
                 if pivots:
@@ -220,7 +220,7 @@ def candidates(rows: DataFrame, percent: int, pivots: bool) -> DataFrame:
                 if end < len(ids):
                     pivot = (ids[end], n[end])
                 at = end
-            out.append((True, np.full(len(ids), sig), ids, n))
+            out.append((True, np.full(len(ids), sig), ids, np.full(len(ids), first) if pivots else n))
 
         def groups(sig: np.ndarray, ids: np.ndarray, n: np.ndarray, ends: bool) -> tuple[list, list[np.ndarray]]:
             out: list = []
@@ -410,8 +410,9 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     release(spark)
     pairs = single.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(double.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
     pairs = written(near_enough(pairs, one, percent).distinct(), "pairs")
-    rest = written(unlike_groups(double.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id"))), "groups")
-    dropped(single, double)
+    apart = written(unlike_groups(double.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id"), F.col("n").alias("first"))), "groups")
+    rest = written(merged_groups(apart), "groups")
+    dropped(single, double, apart)
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(rest.select(F.col("id").alias("doc_id"))).distinct()
     texts = written(texts_of(base, wanted), "texts")
@@ -443,11 +444,24 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
 
 
 def unlike_groups(rows: DataFrame) -> DataFrame:
-    """Of (signature, id) one signature of all that have the same members, told by their number and two sums of hashes."""
+    """Of (signature, id, first) one signature of all that have the same members, told by their number and two sums of hashes."""
     print_of = rows.groupBy("signature").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
     return rows.join(print_of.groupBy("c", "x", "y").agg(F.min("signature").alias("signature")).select("signature"), "signature", "left_semi")
 
 
+def merged_groups(rows: DataFrame) -> DataFrame:
+    """(signature, id) of groups (signature, id, first): those with one first member are one group.
+
+    Copies have as many groups as combinations of their tokens, with nearly the same members. A group's pairs are in the
+    merged one, so none is lost. Where it has more than twice as many pairs as its parts together, these stay apart.
+    """
+    size = rows.groupBy("first", "signature").agg(F.count("*").cast("double").alias("c")).groupBy("first").agg(F.sum(F.col("c") * F.col("c")).alias("pairs"))
+    once = rows.select("first", "id").distinct()
+    whole = once.groupBy("first").agg(F.count("*").cast("double").alias("u")).join(size, "first").select("first", (F.col("u") * F.col("u") <= 2 * F.col("pairs")).alias("whole"))
+    one = once.join(whole.where("whole"), "first", "left_semi").select(F.xxhash64("first").alias("signature"), "id")
+    return one.unionByName(rows.join(whole.where("not whole"), "first", "left_semi").select("signature", "id"))
+
+
 def cross_pairs(rows: DataFrame, sets: DataFrame, percent: int, most: int | None) -> DataFrame:
     """Of large groups' members (signature, id, component, size of the group), two kinds of rows (signature, a, b): with
     no signature, pairs of members of different components that sizes and sketches allow, of each member those with its

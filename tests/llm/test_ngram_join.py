@@ -91,6 +91,33 @@ def test_a_large_group_of_unlike_sets(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 3, 90)
 
 
+def test_combinations_of_the_same_copies_are_one_group(spark, monkeypatch):
+    """Near copies share many combinations of tokens; what later steps read grows with the copies, not with these."""
+    read, cross_pairs = [], J.cross_pairs
+    monkeypatch.setattr(J, "cross_pairs", lambda rows, *rest: read.append(rows.count()) or cross_pairs(rows, *rest))
+    rng = random.Random(4)
+    base, texts = prose(rng, 300).split(), []
+    for i in range(60):
+        own = list(base)
+        for at in rng.sample(range(300), 6):
+            own[at] = f"other{i}x{at}"
+        texts.append(" ".join(own))
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    got = J.join(spark.createDataFrame(rows, SCHEMA), 3, 90)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 3, 90)
+    assert max(read) <= 10 * len(rows), read
+
+
+def test_merged_groups_lose_no_pair(spark):
+    """Groups with one first member become one, unless that has far more pairs than they."""
+    groups = {1: (0, {0, 1, 2, 3}), 2: (0, {0, 1, 2, 4}), 3: (5, {5, 6, 7}), 4: (8, {8, 9, 10}), 5: (8, {8, 11, 12}), 6: (8, {8, 13, 14}), 7: (8, {8, 15, 16})}
+    rows = [(g, i, first) for g, (first, ids) in groups.items() for i in ids]
+    out = {}
+    for r in J.merged_groups(spark.createDataFrame(rows, "signature long, id long, first long")).collect():
+        out.setdefault(r.signature, []).append(r.id)
+    assert sorted(map(sorted, out.values())) == [[0, 1, 2, 3, 4], [5, 6, 7], [8, 9, 10], [8, 11, 12], [8, 13, 14], [8, 15, 16]]
+
+
 def test_awkward(spark):
     rows, docs = awkward(spark)
     assert sorted(map(tuple, J.join(docs).collect()), key=repr) == brute(rows, 3, 90)

@@ -391,7 +391,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, fraction: float = 0.2,
 
             return keep
 
-        docs = rows_kept(docs, chooser)
+        docs = rows_kept(docs, chooser, most=1 << 19)
         if not last:
             docs = written(docs, "clean")
             blocks.destroy()

@@ -37,6 +37,7 @@ FILTER = 1 << 23  # bits of the filter of document numbers whose texts are wante
 COUNTED = 8 << 20  # bytes of text in which tokens are counted together
 BLOCK = 4096  # members of a large group that meet each other in one task
 NEAREST = 1  # partners that a member of a large group gets at once
+FEW = 512  # members of large groups that get all their partners at once
 HUB = 512  # texts that are verified against one other in a task
 LOCAL, SEEN = 2, 6  # counts there that are added up, and the sum from which a token is of the frequent class
 
@@ -332,6 +333,26 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return in_arrow(docs, run, docs.schema)
 
 
+def moves_of(pairs: DataFrame) -> DataFrame:
+    """(hub, doc_id, copy, turn) of pairs (a, b), for links(), dealt by one task."""
+    schema = pa.schema([("hub", pa.int64()), ("doc_id", pa.int64()), ("copy", pa.int64()), ("turn", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [np.stack([b.column(i).to_numpy() for i in range(2)]) for b in batches if b.num_rows]
+        if not rows:
+            return
+        a, b = np.unique(np.concatenate(rows, 1), axis=1)
+        _, at, seen = np.unique(np.concatenate([a, b]), return_inverse=True, return_counts=True)
+        n, m = seen[at[: len(a)]], seen[at[len(a) :]]
+        hub, doc = np.where(n >= m, a, b), np.where(n >= m, b, a)
+        copy = (mix(doc.view(np.uint64)) % (-(-np.maximum(n, m) // HUB)).astype(np.uint64)).astype(np.int64)
+        own, own_copy = np.unique(np.stack([hub, copy]), axis=1)
+        turn = np.arange(len(own) + len(doc)) >= len(own)
+        yield batch_of(schema, [pa.array(np.concatenate(c)) for c in ((own, hub), (own, doc), (own_copy, copy))] + [pa.array(turn.astype(np.int32))])
+
+    return in_arrow(pairs.repartition(1), run, "hub long, doc_id long, copy long, turn int")
+
+
 def links(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
     """Of pairs (a, b) those whose whole sets are similar enough.
 
@@ -340,13 +361,17 @@ def links(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame
     where any of them is.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    seen = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").count()
-    sides = pairs.join(seen.toDF("a", "n"), "a").join(seen.toDF("b", "m"), "b")
-    first = F.col("n") >= F.col("m")
-    stars = sides.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("doc_id"), F.greatest("n", "m").alias("n"))
-    stars = stars.select("hub", "doc_id", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / HUB)).alias("copy"))
-    hubs = stars.select("hub", "copy").distinct().select("hub", F.col("hub").alias("doc_id"), "copy", F.lit(0).alias("turn"))
-    moves = written(hubs.unionByName(stars.withColumn("turn", F.lit(1))), "moves")
+    if pairs.count() <= BROADCAST:
+        moves = written(moves_of(pairs), "moves")
+    else:
+        pairs = pairs.distinct()
+        seen = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").count()
+        sides = pairs.join(seen.toDF("a", "n"), "a").join(seen.toDF("b", "m"), "b")
+        first = F.col("n") >= F.col("m")
+        stars = sides.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("doc_id"), F.greatest("n", "m").alias("n"))
+        stars = stars.select("hub", "doc_id", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / HUB)).alias("copy"))
+        hubs = stars.select("hub", "copy").distinct().select("hub", F.col("hub").alias("doc_id"), "copy", F.lit(0).alias("turn"))
+        moves = written(hubs.unionByName(stars.withColumn("turn", F.lit(1))), "moves")
     few = moves.count() <= BROADCAST
     moved = texts.join(F.broadcast(moves) if few else moves, "doc_id").select("hub", "copy", "turn", "doc_id", "text")
 
@@ -409,11 +434,13 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     double = written(candidates(combined(hot, percent), percent, True), "combinations")
     release(spark)
     pairs = single.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(double.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
-    pairs = written(near_enough(pairs, one, percent).distinct(), "pairs")
+    pairs = written(near_enough(pairs, one, percent), "pairs")
     apart = written(unlike_groups(double.where("hot").select(F.col("x").alias("signature"), F.col("y").alias("id"), F.col("n").alias("first"))), "groups")
     rest = written(merged_groups(apart), "groups")
     dropped(single, double, apart)
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    grouped = rest.select(F.col("id").alias("doc_id")).distinct()
+    own = written(one.join(F.broadcast(grouped) if rest.count() <= BROADCAST else grouped, "doc_id", "left_semi"), "own")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(rest.select(F.col("id").alias("doc_id"))).distinct()
     texts = written(texts_of(base, wanted), "texts")
     found = written(links(pairs, texts, percent, k), "links")
@@ -421,12 +448,13 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     dropped(found, pairs)
     release(spark)
     # Large groups: pairs of different components, first of each member and its nearest ones, while these link any.
-    most: int | None = NEAREST
+    linking = True
     while True:
+        most = NEAREST if linking and rest.count() > FEW else None
         labelled = rest.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
         split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high").select("signature", "size")
-        near = written(cross_pairs(labelled.join(split, "signature"), one, percent, most), "near")
-        pairs = near.where("signature is null").select("a", "b").distinct()
+        near = written(cross_pairs(labelled.join(split, "signature"), own, percent, most), "near")
+        pairs = near.where("signature is null").select("a", "b")
         more = written(links(pairs, texts, percent, k), "links")
         linking = not more.isEmpty()
         if linking:
@@ -437,8 +465,7 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
         release(spark)
         if most is None or rest.isEmpty():
             break
-        most = NEAREST if linking else None
-    dropped(texts, rest)
+    dropped(texts, rest, own)
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 

@@ -1,10 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from heddle.llm import components as C
 from heddle.llm import ngram_join as J
 from heddle.llm.components import components
 
@@ -135,3 +137,42 @@ def test_components(spark, links):
                 root[a] = root[b] = min(root[a], root[b])
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == root
+
+
+def test_few_links_take_one_task(spark, monkeypatch):
+    """A long path and its extension are solved at once, not in steps over all links that each write a table."""
+    tables, written = [], C.written
+    monkeypatch.setattr(C, "written", lambda df, name: tables.append(name) or written(df, name))
+    path = [(i, i + 1) for i in range(300)] + [(1000, 1001)]
+    known = components(spark.createDataFrame(path, "a long, b long"))
+    more = C.extended(known, spark.createDataFrame([(300, 1001), (5, 2000)], "a long, b long"))
+    assert {(r.id, r.component) for r in more.collect()} == {(i, 0) for i in [*range(301), 1000, 1001, 2000]}
+    assert tables == ["edges", "components", "components"]
+
+
+def test_steps_and_rounds_equal_one_task(spark, monkeypatch):
+    """What is too large for one task, and for all pairs at once, goes in steps and rounds, with the same result."""
+    rng = random.Random(19)
+    base = prose(rng, 100)
+    texts = [t for _ in range(3) for t in family(rng, 25)] + [f"{base} {prose(rng, 9)}" for _ in range(40)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(J, "SMALL", 2)
+    monkeypatch.setattr(J, "BLOCK", 16)
+    for large in (False, True):
+        if large:
+            monkeypatch.setattr(J, "FEW", 0)
+            monkeypatch.setattr(J, "BROADCAST", -1)
+            monkeypatch.setattr(C, "ONE_TASK", -1)
+        assert sorted(map(tuple, J.join(docs).collect()), key=repr) == brute(rows, 3, 90)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(-9, 20), st.integers(-9, 20)), max_size=30))
+def test_least_reached(links):
+    root = {x: x for pair in links for x in pair}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    nodes, least = C.least_reached(*np.array(links, np.int64).reshape(-1, 2).T)
+    assert dict(zip(nodes.tolist(), least.tolist())) == root
